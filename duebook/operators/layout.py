@@ -94,11 +94,9 @@ def file_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def files_with_rows(df: DataFrame, condition: Column) -> DataFrame:
-    """How many files of a file table hold rows of a filter, of how many. Grain: one row."""
-    # A group per file first: the count of distinct files then sees files, not rows.
-    return (
-        df.groupBy(F.col("_metadata.file_path").alias("_file"))
-        .agg(F.bool_or(condition).alias("_hit"))
-        .agg(F.count_if("_hit").alias("files_hit"), F.count("*").alias("files"))
-    )
+def files_with_rows(df: DataFrame, **filters: Column) -> DataFrame:
+    """How many files of a file table hold rows of each filter. Grain: one row."""
+    # A group per file first, so the second aggregate sees files and not rows.
+    hit = {name: F.bool_or(condition).alias(f"{name}_files") for name, condition in filters.items()}
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(*hit.values())
+    return per_file.agg(*(F.count_if(f"{name}_files").alias(f"{name}_files") for name in hit))

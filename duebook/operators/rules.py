@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from duebook.fixed_values import Rule
-from duebook.session import scratch_folder
+from duebook.session import scratch_folder, with_columns
 
 BROKEN = "_failed_rules"
 REPORT_KEY = ("update_id", "dataset", "expectation")
@@ -133,7 +133,7 @@ def screen(df: DataFrame, rules: Iterable[Rule], label: str = "screened") -> Scr
     stopping = {r.name: found[r.name] for r in rules if r.action == "fail" and found[r.name]}
     if stopping:
         raise BrokenRules(stopping)
-    schema = df.schema.add(BROKEN, "array<string>").add("_quarantined", "boolean")
+    schema = with_columns(df.schema, f"{BROKEN} array<string>, _quarantined boolean")
     return Screened(df.sparkSession.read.schema(schema).parquet(folder), rules, found, rows)
 
 

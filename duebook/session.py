@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Months of all years 1..9999: the most rows a frame with one row per month can have.
 MONTHS_IN_CALENDAR = 12 * 9999
@@ -61,6 +62,18 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def with_columns(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with the columns of ``ddl`` added at the end."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``, on whatever file system it names?"""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(conf).exists(target)
+
+
 def settle_down(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

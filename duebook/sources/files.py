@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from duebook.session import path_exists
+
 RESCUED = "_rescued_data"
 WHOLE_LINE = "_line"
 
@@ -27,12 +28,9 @@ def hinted_schema(
     ``keep_at`` names a folder for the schema: it is written on first use and read afterwards,
     so later files never change it. JSON columns that are hinted but not seen yet are added.
     """
-    if keep_at:
-        try:
-            kept = spark.read.schema("doc STRING").json(keep_at).first()
-            return StructType.fromJson(json.loads(kept.doc))
-        except AnalysisException:
-            pass  # nothing kept yet
+    if keep_at and path_exists(spark, keep_at):
+        kept = spark.read.schema("doc STRING").json(keep_at).first()
+        return StructType.fromJson(json.loads(kept.doc))
     reader = spark.read.option("samplingRatio", sampling)
     if form == "csv":
         inferred = reader.option("header", True).option("inferSchema", True).csv(path).schema
@@ -153,13 +151,18 @@ def _csv(reader, schema: StructType):
 
 
 def landing_problems(
-    spark: SparkSession, path: str, required: Sequence[str], expected: Sequence[str] = ()
+    spark: SparkSession,
+    path: str,
+    required: Sequence[str],
+    expected: Sequence[str] = (),
+    name: Column | None = None,
 ) -> DataFrame:
     """Check landed CSV files before they are ingested.
 
-    Grain: one row per file found or expected: ``file``, ``missing_columns`` of its header,
-    ``data_rows``, ``problem`` (null when the file is fine). Headers are the first line of the
-    first block of a file; nothing but one line and a count per file leaves a task.
+    Grain: one row per delivery found or expected: ``file``, ``missing_columns`` of its headers,
+    ``data_rows``, ``problem`` (null when it is fine). Headers are the first line of the first
+    block of a file; one line and a count per file is all that leaves a task. A delivery is one
+    file, or all files that ``name``, an expression over ``path`` and ``file``, calls the same.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
@@ -177,8 +180,16 @@ def landing_problems(
         F.split("_header", ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
     )
     wanted = F.array(*(F.lit(c) for c in required))
-    found = files.select(
-        "file", F.array_except(wanted, header).alias("missing_columns"), "data_rows"
+    found = (
+        files.withColumn("_missing", F.array_except(wanted, header))
+        .groupBy((F.col("file") if name is None else name).alias("file"))
+        .agg(
+            # At most as many different lists as there are subsets of the required columns.
+            F.array_sort(F.array_distinct(F.flatten(F.collect_set("_missing")))).alias(
+                "missing_columns"
+            ),
+            F.sum("data_rows").alias("data_rows"),
+        )
     )
     if expected:
         names = spark.createDataFrame([(name,) for name in expected], "file STRING")

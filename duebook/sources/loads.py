@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.operators.matching import merge_rows
+from duebook.session import path_exists
 
 VERSION = "_load_version"
 _LOG = "version BIGINT, timestamp TIMESTAMP, operation STRING, base BIGINT, columns STRING"
@@ -93,10 +93,10 @@ class LoadedTable:
 
     def _log_rows(self) -> list:
         # One row per load ever made: small, and read to find folders, like a file listing.
-        try:
-            return self.spark.read.schema(_LOG).json(f"{self.folder}/log").collect()
-        except AnalysisException:
+        log = f"{self.folder}/log"
+        if not path_exists(self.spark, log):
             return []
+        return self.spark.read.schema(_LOG).json(log).collect()
 
 
 def files_in(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

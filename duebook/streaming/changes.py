@@ -18,6 +18,7 @@ from duebook.operators.history import build_versions
 from duebook.operators.in_order import FLOOR
 from duebook.operators.matching import same_keys, shadowed
 from duebook.operators.rules import BrokenRules, count_by_rule, holds, of_action
+from duebook.session import with_columns
 
 BATCH = "_batch"
 BUCKET = "_bucket"
@@ -61,24 +62,13 @@ class VersionedStream:
 
     def versions(self) -> DataFrame:
         """Grain: one row per key and version: for each key, the rows of its newest batch."""
-        columns = self._columns()
-        rows = self.spark.read.schema(columns).parquet(f"{self.folder}/versions")
+        at = self._schema[self.sequence].dataType.simpleString()
+        columns = f"{VALID_FROM} {at}, {VALID_TO} {at}, {BATCH} BIGINT"
+        rows = self.spark.read.schema(with_columns(self._schema, columns)).parquet(f"{self.folder}/versions")
         newest = rows.groupBy(*self.keys).agg(F.max(BATCH).alias("_newest"))
         same = same_keys(self.keys) & (F.col(BATCH) == F.col("_newest"))
         return rows.join(shadowed(newest, self.keys), same, "left_semi").drop(BATCH)
 
-    def _columns(self):
-        sequence_type = self._schema[self.sequence].dataType
-        return (
-            self._schema_copy()
-            .add(VALID_FROM, sequence_type)
-            .add(VALID_TO, sequence_type)
-            .add(BATCH, "bigint")
-        )
-
-    def _schema_copy(self):
-        return type(self._schema)(list(self._schema.fields))
-
     def _batch(self, batch: DataFrame, number: int) -> None:
         kept = batch
         stopping = of_action(self.rules, "fail")
@@ -100,7 +90,7 @@ class VersionedStream:
             .partitionBy(BUCKET)
             .parquet(f"{log}/{BATCH}={number}")
         )
-        schema = self._schema_copy().add(BATCH, "bigint").add(BUCKET, "int")
+        schema = with_columns(self._schema, f"{BATCH} BIGINT, {BUCKET} INT")
         logged = self.spark.read.schema(schema).parquet(log).where(F.col(BATCH) <= number)
         arrived = logged.where(F.col(BATCH) == number)
         # At most ``buckets`` numbers: they prune the log to the folders that can hold the keys.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from duebook.workload import cleaning, loans  # noqa: F401
+from duebook.workload import cleaning, delivery, histories, invariants, layouts, loans, quality  # noqa: F401
 from duebook.workload.registry import QUERIES, runnable
 
 

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from duebook.operators import delinquency, exposure, series
-from duebook.operators.matching import newest_per_key  # noqa: F401
 from duebook.plans.entities import tidy_table
 from duebook.workload import adapters as a
 from duebook.workload.registry import Columns, query
