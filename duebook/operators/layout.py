@@ -57,7 +57,7 @@ def z_value(df: DataFrame, keys: Sequence[str], bits: int = 6) -> Column:
     cuts = df.agg(*(F.percentile_approx(k, steps).alias(k) for k in keys)).first()
     z = F.lit(0)
     for position, key in enumerate(keys):
-        rank = _rank_bucket(F.col(key), sorted(set(cuts[key] or [])))
+        rank = _rank_bucket(F.col(key), sorted(set(cuts[key] or [])), 2**bits)
         for bit in range(bits):
             # Bit b of key p goes to bit b * len(keys) + (last key - p).
             target = bit * len(keys) + len(keys) - 1 - position
@@ -66,12 +66,16 @@ def z_value(df: DataFrame, keys: Sequence[str], bits: int = 6) -> Column:
     return z
 
 
-def _rank_bucket(value: Column, cuts: Sequence[object]) -> Column:
-    """Number of ``cuts`` below ``value``, by halving: a row makes log2(cuts) comparisons."""
+def _rank_bucket(value: Column, cuts: Sequence[object], buckets: int) -> Column:
+    """Number of ``cuts`` below ``value``, stretched over all ``buckets``.
+
+    Found by halving, so a row makes log2(cuts) comparisons. Stretching lets a key of few values
+    use the high bits too, so it shapes the curve as much as a key of many values.
+    """
 
     def between(low: int, high: int) -> Column:
         if low == high:
-            return F.lit(low)
+            return F.lit(low * buckets // (len(cuts) + 1))
         middle = (low + high) // 2
         return F.when(value <= F.lit(cuts[middle]), between(low, middle)).otherwise(
             between(middle + 1, high)
