@@ -69,8 +69,9 @@ def lagged_series(
     published = (
         observations.where(F.col(series).isin(*lags))
         .groupBy(F.col(series).alias("_series"), F.add_months(period, lag).alias("_known_from"))
-        # Of several values for one period the largest counts, to be independent of row order.
-        .agg(F.max_by(value, F.struct(period, value)).alias("_value"))
+        # One group holds one period of one series. Of several values the largest counts, so the
+        # result does not depend on row order.
+        .agg(F.max(value).alias("_value"))
         .where("_known_from IS NOT NULL")
     )
     until_next = F.add_months(

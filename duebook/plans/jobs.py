@@ -21,15 +21,22 @@ from duebook.streaming.ingest import ingest_csv, ingest_json
 
 
 def ingest_folder(
-    spark: SparkSession, entity: str, landing: str, raw: str, state: str, form: str = "csv"
+    spark: SparkSession,
+    entity: str,
+    landing: str,
+    raw: str,
+    state: str,
+    form: str = "csv",
+    sampling: float = 1.0,
 ) -> int:
     """Drain the new files of one landing folder into its raw table folder.
 
     ``state`` keeps the checkpoint and the schema; hints come from the entity, or from the series
-    when the entity is not one of the loan files.
+    when the entity is not one of the loan files. ``sampling`` is the share of the first files
+    that type inference looks at; what does not fit the types found is rescued, never lost.
     """
     hints = TYPE_HINTS.get(entity, TYPE_HINTS["series"])
-    schema = hinted_schema(spark, landing, hints, form, keep_at=f"{state}/schema")
+    schema = hinted_schema(spark, landing, hints, form, f"{state}/schema", sampling)
     ingest = ingest_csv if form == "csv" else ingest_json
     return ingest(spark, landing, raw, f"{state}/checkpoint", schema)
 

@@ -12,12 +12,15 @@ from pyspark.sql.types import StructType
 # Months of all years 1..9999: the most rows a frame with one row per month can have.
 MONTHS_IN_CALENDAR = 12 * 9999
 
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+SKEW_SPLITS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when the split costs the aggregate above it a new shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+SETTINGS = {
+    **SKEW_SPLITS,
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Spark keeps the map output of lost executors reachable through migration.
@@ -48,6 +51,12 @@ def open_local(cores: int = 8, **extra: str) -> SparkSession:
     return open_session("duebook-local", f"local[{cores}]", **(local | extra))
 
 
+def allow_skew_splits(spark: SparkSession) -> None:
+    """Let a session opened elsewhere split the hot keys of its joins at run time."""
+    for name, value in SKEW_SPLITS.items():
+        spark.conf.set(name, value)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, unique folder for intermediate tables, below the cluster's shared folder.
 

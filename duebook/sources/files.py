@@ -193,7 +193,7 @@ def landing_problems(
     )
     if expected:
         names = spark.createDataFrame([(name,) for name in expected], "file STRING")
-        found = found.join(F.broadcast(names), "file", "full")
+        found = found.join(names, "file", "full")
     problem = (
         F.when(F.col("data_rows").isNull(), "not landed")
         .when(F.size("missing_columns") > 0, "columns missing")

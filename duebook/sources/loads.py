@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from duebook.operators.matching import merge_rows
 from duebook.session import path_exists
@@ -47,17 +48,22 @@ class LoadedTable:
         return rows.where(F.col(VERSION).between(last.base, last.version)).drop(VERSION)
 
     def append(self, df: DataFrame, operation: str = "append") -> int:
-        """Add rows, creating the table on first use. New columns are added to the table."""
+        """Add rows, creating the table on first use.
+
+        New columns are added to the table; known ones are cast to the types they have there.
+        """
         log = self._log_rows()
         if not log:
             return self._load(df, 0, 0, operation, df.schema)
         last = max(log, key=lambda r: r.version)
-        known = self.spark.createDataFrame([], last.columns).schema
-        merged = known
-        for field in df.schema.fields:
-            if field.name.lower() not in {n.lower() for n in known.names}:
-                merged = merged.add(field.name, field.dataType)
-        return self._load(df, last.version + 1, last.base, operation, merged)
+        known = StructType.fromDDL(last.columns)
+        types = {field.name.lower(): field.dataType for field in known.fields}
+        new = [field for field in df.schema.fields if field.name.lower() not in types]
+        fitted = df.select(
+            *(F.col(c).cast(types[c.lower()]) if c.lower() in types else c for c in df.columns)
+        )
+        merged = StructType([*known.fields, *new])
+        return self._load(fitted, last.version + 1, last.base, operation, merged)
 
     def replace(self, df: DataFrame, operation: str = "replace") -> int:
         """Make ``df`` the whole content; earlier loads stay readable by number."""

@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.fixed_values import DELIVERY_COLUMNS, VALID_FROM, VALID_TO, Rule
 from duebook.operators.history import build_versions
 from duebook.operators.in_order import FLOOR
 from duebook.operators.matching import same_keys, shadowed
-from duebook.operators.rules import BrokenRules, count_by_rule, holds, of_action
+from duebook.operators.rules import BrokenRules, holds, of_action
 from duebook.session import with_columns
 
 BATCH = "_batch"
@@ -70,26 +70,24 @@ class VersionedStream:
         return rows.join(shadowed(newest, self.keys), same, "left_semi").drop(BATCH)
 
     def _batch(self, batch: DataFrame, number: int) -> None:
-        kept = batch
+        log = f"{self.folder}/log"
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         stopping = of_action(self.rules, "fail")
-        if stopping:
-            counts = {
-                row.expectation: row.failed_records
-                for row in count_by_rule(batch, stopping).collect()
-                if row.failed_records
-            }
-            if counts:
-                raise BrokenRules(counts)
+        seen = Observation()
+        broken = [F.count_if(~holds(rule)).alias(rule.name) for rule in stopping]
+        kept = batch.observe(seen, F.count(F.lit(1)).alias("_rows"), *broken)
         for rule in of_action(self.rules, "drop"):
             kept = kept.where(holds(rule))
-        log = f"{self.folder}/log"
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         (
             kept.withColumn(BUCKET, bucket)
             .write.mode("overwrite")
             .partitionBy(BUCKET)
             .parquet(f"{log}/{BATCH}={number}")
         )
+        # A batch that stops here is tried again under the same number and overwrites its folder.
+        found = {rule.name: seen.get[rule.name] for rule in stopping}
+        if any(found.values()):
+            raise BrokenRules({name: count for name, count in found.items() if count})
         schema = with_columns(self._schema, f"{BATCH} BIGINT, {BUCKET} INT")
         logged = self.spark.read.schema(schema).parquet(log).where(F.col(BATCH) <= number)
         arrived = logged.where(F.col(BATCH) == number)
