@@ -31,7 +31,7 @@ def hinted_schema(
     if keep_at and path_exists(spark, keep_at):
         kept = spark.read.schema("doc STRING").json(keep_at).first()
         return StructType.fromJson(json.loads(kept.doc))
-    reader = spark.read.option("samplingRatio", sampling)
+    reader = spark.read.option("samplingRatio", sampling).option("recursiveFileLookup", True)
     if form == "csv":
         inferred = reader.option("header", True).option("inferSchema", True).csv(path).schema
     else:
@@ -117,7 +117,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) ->
 
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Batch read of JSON lines, typed and with rescue and delivery columns."""
-    return json_rows(with_delivery_columns(spark.read.text(path)), schema)
+    return json_rows(with_delivery_columns(_deep(spark.read).text(path)), schema)
 
 
 def stream_csv(
@@ -132,7 +132,7 @@ def stream_json(
     spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
     """JSON lines as a stream over a folder."""
-    reader = _paced(spark.readStream, files_per_batch)
+    reader = _deep(_paced(spark.readStream, files_per_batch))
     return json_rows(with_delivery_columns(reader.text(folder)), schema)
 
 
@@ -140,9 +140,14 @@ def _paced(reader, files_per_batch: int | None):
     return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
+def _deep(reader):
+    return reader.option("recursiveFileLookup", True)
+
+
 def _csv(reader, schema: StructType):
     return (
-        reader.schema(as_text(schema))
+        _deep(reader)
+        .schema(as_text(schema))
         .option("header", True)
         .option("columnNameOfCorruptRecord", WHOLE_LINE)
         # A header that differs from the schema stops the read instead of shifting columns.
