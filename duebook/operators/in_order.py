@@ -8,7 +8,7 @@ same with and without cuts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from math import ceil
 
@@ -22,7 +22,7 @@ from duebook.session import settle_down
 # fewer than SHARE hot keys and at most 2 * SHARE parts, whatever the size of the data: the cut
 # table and the border rows can be broadcast.
 FLOOR = 1_000_000
-SHARE = 1000
+SHARE = 20_000
 
 
 @dataclass(frozen=True)
@@ -33,16 +33,16 @@ class Cuts:
     on: str
     table: DataFrame
 
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of ordinary keys and rows of hot keys."""
+        hot = F.broadcast(shadowed(self.table.select(*self.keys), self.keys))
+        same = same_keys(self.keys)
+        return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add ``_hot`` and ``_part``, the number of the part a row belongs to."""
+        """Add ``_part``, the number of the part a row of a hot key belongs to."""
         below = F.size(F.filter("_cuts", lambda cut: cut < F.col(self.on)))
-        tagged = _lookup(df, self.table, self.keys)
-        return tagged.withColumns(
-            {
-                "_hot": F.col("_cuts").isNotNull(),
-                "_part": F.when(F.col("_cuts").isNotNull(), below).otherwise(0),
-            }
-        ).drop("_cuts")
+        return _lookup(df, self.table, self.keys).withColumn("_part", below).drop("_cuts")
 
 
 def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,7 +77,7 @@ def cuts_for_hot_keys(
         .groupBy(*names)
         .agg(
             F.first("_rows").alias("_rows"),
-            F.percentile_approx(on, quantiles).alias("_cuts"),
+            F.percentile_approx(on, quantiles, max(10_000, 10 * steps)).alias("_cuts"),
         )
         .withColumn("_cuts", F.array_distinct(picked))
         .drop("_rows")
@@ -87,26 +87,37 @@ def cuts_for_hot_keys(
     return Cuts(tuple(names), on, pinned)
 
 
+def per_heat(
+    df: DataFrame,
+    keys: Sequence[str],
+    on: str,
+    hot_rows: int | None,
+    build: Callable[[DataFrame, Cuts | None], DataFrame],
+) -> DataFrame:
+    """Apply ``build`` to ordinary keys as they are, and to hot keys with their cuts.
+
+    ``hot_rows`` is the least size of a hot key; None means that there are none, which saves the
+    pass that looks for them.
+    """
+    cuts = None if hot_rows is None else cuts_for_hot_keys(df, keys, on, floor=hot_rows)
+    if cuts is None:
+        return build(df, None)
+    ordinary, hot = cuts.split(df)
+    return build(ordinary, None).unionByName(build(hot, cuts))
+
+
 def _inside(keys: Sequence[str], cuts: Cuts | None, order: Sequence[str]):
     parts = ["_part"] if cuts else []
     return Window.partitionBy(*keys, *parts).orderBy(*order)
 
 
-def _across(
-    df: DataFrame, keys: Sequence[str], border: Column, carried: Column, name: str
+def _fill(
+    df: DataFrame, borders: DataFrame, keys: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """Fill nulls of ``name`` from the neighbouring parts of hot keys."""
-    borders = (
-        df.where("_hot")
-        .groupBy(*keys, "_part")
-        .agg(border.alias("_border"))
-        .withColumn("_border", carried)
-    )
-    return (
-        _lookup(df, borders, [*keys, "_part"])
-        .withColumn(name, F.coalesce(name, "_border"))
-        .drop("_border")
-    )
+    """Fill nulls of ``names`` with the values ``_<name>`` carried over the part borders."""
+    carried = borders.select(*keys, "_part", *(f"_{n}" for n in names))
+    filled = {n: F.coalesce(n, f"_{n}") for n in names}
+    return _lookup(df, carried, [*keys, "_part"]).withColumns(filled).drop(*map("_{}".format, names))
 
 
 def with_neighbours(
@@ -114,34 +125,34 @@ def with_neighbours(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    before: str | None = None,
-    after: str | None = None,
+    before: str,
+    after: str,
     cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add ``value`` of the previous row (``before``) and of the next row (``after``) of the key.
 
     ``value`` must not be null (wrap it in a struct), so null means that there is no neighbour.
-    Grain: unchanged.
+    With ``cuts``, all keys of ``df`` must be hot ones. Grain: unchanged.
     """
-    tagged = cuts.tag(df) if cuts else df
+    tagged = (cuts.tag(df) if cuts else df).withColumn("_value", value)
     inside = _inside(keys, cuts, order)
-    parts = Window.partitionBy(*keys).orderBy("_part")
-    tagged = tagged.withColumn("_value", value)
-    row = F.struct(*order)
     out = tagged.withColumns(
-        {
-            name: shift("_value").over(inside)
-            for name, shift in ((before, F.lag), (after, F.lead))
-            if name
-        }
-    )
-    if cuts and before:
-        last = F.max_by("_value", row)
-        out = _across(out, keys, last, F.lag("_border").over(parts), before)
-    if cuts and after:
-        first = F.min_by("_value", row)
-        out = _across(out, keys, first, F.lead("_border").over(parts), after)
-    return out.drop("_value", "_part", "_hot")
+        {before: F.lag("_value").over(inside), after: F.lead("_value").over(inside)}
+    ).drop("_value")
+    if cuts:
+        # Written once: the rows at the part ends are then a cheap filter, not a second sort.
+        out = settle_down(out, "parts")
+        ends = out.where(F.col(before).isNull() | F.col(after).isNull())
+        borders = ends.groupBy(*keys, "_part").agg(
+            F.first(F.when(F.col(before).isNull(), value), True).alias("_low"),
+            F.first(F.when(F.col(after).isNull(), value), True).alias("_high"),
+        )
+        parts = Window.partitionBy(*keys).orderBy("_part")
+        borders = borders.withColumns(
+            {f"_{before}": F.lag("_high").over(parts), f"_{after}": F.lead("_low").over(parts)}
+        )
+        out = _fill(out, borders, keys, [before, after])
+    return out.drop("_part")
 
 
 def with_latest(
@@ -154,19 +165,23 @@ def with_latest(
 ) -> DataFrame:
     """Add the latest non-null ``marker`` of the key up to and including the row itself.
 
-    Grain: unchanged.
+    With ``cuts``, all keys of ``df`` must be hot ones. Grain: unchanged.
     """
-    tagged = cuts.tag(df) if cuts else df
-    inside = _inside(keys, cuts, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged.withColumn("_marker", marker)
-    out = out.withColumn(name, F.last("_marker", ignorenulls=True).over(inside))
+    tagged = (cuts.tag(df) if cuts else df).withColumn("_marker", marker)
+    inside = _inside(keys, cuts, order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = tagged.withColumn(name, F.last("_marker", ignorenulls=True).over(so_far))
     if cuts:
-        row = F.when(F.col("_marker").isNotNull(), F.struct(*order))
-        parts = Window.partitionBy(*keys).orderBy("_part")
-        before = parts.rowsBetween(Window.unboundedPreceding, -1)
-        carried = F.last("_border", ignorenulls=True).over(before)
-        out = _across(out, keys, F.max_by("_marker", row), carried, name)
-    return out.drop("_marker", "_part", "_hot")
+        is_end = F.lead(F.lit(1)).over(inside).isNull()
+        out = settle_down(out.withColumn("_end", is_end), "parts")
+        earlier = (
+            Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        borders = out.where("_end").select(
+            *keys, "_part", F.last(name, ignorenulls=True).over(earlier).alias(f"_{name}")
+        )
+        out = _fill(out, borders, keys, [name])
+    return out.drop("_marker", "_part", "_end")
 
 
 def numbered(df: DataFrame, order: Sequence[Column], name: str = "_position") -> DataFrame:
