@@ -124,7 +124,8 @@ def overdue_by_month(
     and is the most overdue in each of them; only in the ending month itself can another one be
     further past due. So installments are first combined by ending month, and only the combined
     rows are spread over months: a contract that stopped paying spreads one row, not one row per
-    open installment.
+    open installment. Combined rows (a contract has about as many as there are months) move to
+    their contract before they are spread, so the spread rows need no shuffle of their own.
     """
     due = F.col(cols.due_day)
     until = overdue_until(cols, F.lit(last_day))
@@ -136,6 +137,7 @@ def overdue_by_month(
             F.min(due).alias("_first_due"),
             F.max(F.datediff("_until", due)).alias("_days_at_end"),
         )
+        .repartition(cols.contract)
     )
     month = F.col("month")
     days = F.when(month == F.col("_last_month"), F.col("_days_at_end")).otherwise(

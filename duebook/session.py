@@ -12,14 +12,16 @@ from pyspark.sql.types import StructType
 # Months of all years 1..9999: the most rows a frame with one row per month can have.
 MONTHS_IN_CALENDAR = 12 * 9999
 
-SKEW_SPLITS = {
+RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even when the split costs the aggregate above it a new shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join on contract and month may keep rows that already are by contract where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 SETTINGS = {
-    **SKEW_SPLITS,
+    **RUNTIME,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -51,9 +53,9 @@ def open_local(cores: int = 8, **extra: str) -> SparkSession:
     return open_session("duebook-local", f"local[{cores}]", **(local | extra))
 
 
-def allow_skew_splits(spark: SparkSession) -> None:
-    """Let a session opened elsewhere split the hot keys of its joins at run time."""
-    for name, value in SKEW_SPLITS.items():
+def use_runtime_settings(spark: SparkSession) -> None:
+    """Give a session opened elsewhere the planner settings these plans are made for."""
+    for name, value in RUNTIME.items():
         spark.conf.set(name, value)
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.session import allow_skew_splits
+from duebook.session import use_runtime_settings
 
 
 @dataclass(frozen=True)
@@ -88,7 +88,7 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
     entry = QUERIES[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        allow_skew_splits(spark)
+        use_runtime_settings(spark)
         df = entry.build(spark, sf_dir)
         return entry.columns.of(df) if entry.columns else df
 
