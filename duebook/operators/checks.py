@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duebook.fixed_values import VALID_FROM, VALID_TO
@@ -253,15 +253,6 @@ def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def next_start(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``next_start``, the start of the key's next version. Grain: unchanged.
-
-    For histories whose keys have few versions; ``version_problems`` needs no such window.
-    """
-    by_start = Window.partitionBy(*keys).orderBy(VALID_FROM)
-    return versions.withColumn("next_start", F.lead(VALID_FROM).over(by_start))
-
-
-def missing_columns(tables: Mapping[str, DataFrame], column: str) -> dict[str, bool]:
+def tables_with_column(tables: Mapping[str, DataFrame], column: str) -> dict[str, bool]:
     """Which of the tables have ``column`` (from their schemas; nothing is read)."""
     return {name: column in df.columns for name, df in tables.items()}

@@ -131,3 +131,4 @@ def test_checks_find_broken_tables(spark, table):
     a = spark.createDataFrame([(1, None)] * 3 + [(2, "x")], "i INT, s STRING")
     b = spark.createDataFrame([(1, None), (3, "y")], "i INT, s STRING")
     same(checks.multiset_difference(a, b), [(3, 1)])
+    assert checks.tables_with_column({"a": a, "source": source}, "s") == {"a": True, "source": False}
