@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from duebook.llm.rows import LOWER, SPACES, UPPER, identified, packed, pinned
 
@@ -111,7 +112,7 @@ def border_runs(ordered: DataFrame) -> dict[tuple[int, int], tuple[int, int | No
     return {(r.hash, r.hash2): (r.documents, r.keeper) for r in counted.collect()}
 
 
-@F.udf("binary")
+@F.udf(BinaryType())
 def keep_bitmap(n_lines: int, dropped: list[int]) -> bytes:
     """Bit i of the packed, compressed bytes is 1 if line i stays; whole bytes, filled with ones."""
     bits = np.ones(-(-n_lines // 8) * 8, np.uint8)
@@ -137,7 +138,7 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.udf("string")
+@F.udf(StringType())
 def kept_text(text: str, bitmap: bytes | None) -> str:
     if bitmap is None:
         return text

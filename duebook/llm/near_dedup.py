@@ -7,7 +7,9 @@
    (pigeonhole). So each class is filed once per chunk and choice of ERRORS positions to leave out,
    under the remaining values: all pairs within that distance meet under some key.
 3. Under a key, each class is first compared with the least class only. Classes that these links
-   already connect need no further comparison; what remains is compared across components. So a
+   already connect need no further comparison. In further rounds, the classes outside a key's
+   largest component are each compared with one member of it, another one each round, as long as
+   that finds links; what is left at last is compared with all classes of other components. So a
    group of n near copies costs some n comparisons, not n * n, and no link between different
    components is lost. Comparisons use the full sets, after bounds on set sizes and signatures.
 
@@ -29,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from duebook.llm.batches import slices, texts_of, word_hashes
 from duebook.llm.components import components
@@ -38,6 +41,8 @@ from duebook.session import settle_down
 CHUNKS, CHUNK_POSITIONS, ERRORS = 7, 6, 2
 POSITIONS = CHUNKS * CHUNK_POSITIONS
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
+#: Rounds that look for links to single members of the largest component at most.
+ROUNDS = 2
 KEPT_POSITIONS = list(combinations(range(CHUNK_POSITIONS), CHUNK_POSITIONS - ERRORS))
 
 #: Multipliers of the MinHash permutations and of the mixing function, drawn once from a fixed seed.
@@ -72,8 +77,11 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """POSITIONS values of 16 bits."""
-    least = [int(mixed(shingles * f + s).min()) & 0xFFFF for f, s in zip(FACTORS, SHIFTS, strict=True)]
-    return np.array(least, np.uint16)
+    least = np.full(POSITIONS, np.uint64(2**64 - 1))
+    for low in range(0, len(shingles), 8_192):
+        part = shingles[low : low + 8_192] * FACTORS[:, None] + SHIFTS[:, None]
+        np.minimum(least, part.min(axis=1), out=least)
+    return mixed(least).astype(np.uint16)
 
 
 def measured(docs: DataFrame, size: int) -> DataFrame:
@@ -120,40 +128,53 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("class", "signature").mapInArrow(file, "key bigint, class bigint")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of classes whose full sets are similar enough."""
-    facts = classes.select("class", "signature", "n_shingles")
-    for side in "ab":
-        pairs = pairs.join(facts.select(*(F.col(c).alias(f"{c}_{side}") for c in facts.columns)), F.col(side) == F.col(f"class_{side}"))
-
-    @F.udf("int")
-    def distance(one: bytes, other: bytes) -> int:
-        return int((np.frombuffer(one, np.uint16) != np.frombuffer(other, np.uint16)).sum())
-
-    small, large_ = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    close = pairs.where(100 * small >= percent * large_).where(distance("signature_a", "signature_b") <= GUARANTEED)
-    close = pinned(close.select("a", "b"))
-    needed = close.select(F.col("a").alias("class")).union(close.select("b")).distinct()
-    # The text of one row of each class in question, by id and text.
-    chosen = needed.join(classes, "class").select("class", "doc_id", "text_key")
-    rows = identified(docs)
-    same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_key"] == chosen["text_key"])
-    found = rows.join(chosen, same).select("class", "text")
-
-    def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [s.view(np.int64) for s in shingle_sets(texts_of(batch), size)]
-            yield pa.record_batch({"class": batch.column("class"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
-
-    # Copies of the row give the same set more than once.
-    sets = pinned(found.mapInArrow(collect_sets, "class bigint, shingles array<bigint>").dropDuplicates(["class"]))
-    both = close
-    for side in "ab":
-        own = sets.select(F.col("class").alias(side), F.col("shingles").alias(f"set_{side}"))
-        both = both.join(own, side)
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return both.where(100 * common >= percent * union).select("a", "b")
+class Confirmer:
+    """Compares pairs of classes by their full sets, which it keeps once they were needed."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int):
+        self.docs, self.classes, self.size, self.percent = docs, classes, size, percent
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` of classes whose full sets are similar enough."""
+        facts = self.classes.select("class", "signature", "n_shingles")
+        for side in "ab":
+            own = facts.select(*(F.col(c).alias(f"{c}_{side}") for c in facts.columns))
+            pairs = pairs.join(own, F.col(side) == F.col(f"class_{side}"))
+
+        small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+        close = pairs.where(100 * small >= self.percent * large)
+        close = pinned(close.where(distance("signature_a", "signature_b") <= GUARANTEED).select("a", "b"))
+        self._fetch(close.select(F.col("a").alias("class")).union(close.select("b")).distinct())
+        both = close
+        for side in "ab":
+            own = self.sets.select(F.col("class").alias(side), F.col("shingles").alias(f"set_{side}"))
+            both = both.join(own, side)
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        union = F.size("set_a") + F.size("set_b") - common
+        return pinned(both.where(100 * common >= self.percent * union).select("a", "b"))
+
+    def _fetch(self, needed: DataFrame) -> None:
+        if self.sets is not None:
+            needed = pinned(needed.join(self.sets, "class", "left_anti"))
+            if needed.isEmpty():
+                return
+        # The text of one row of each class in question, by id and text.
+        chosen = needed.join(self.classes, "class").select("class", "doc_id", "text_key")
+        rows, size = identified(self.docs), self.size
+        same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_key"] == chosen["text_key"])
+        found = rows.join(chosen, same).select("class", "text")
+
+        def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                sets = [s.view(np.int64) for s in shingle_sets(texts_of(batch), size)]
+                columns = {"class": batch.column("class"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+                yield pa.record_batch(columns)
+
+        # Copies of the row give the same set more than once.
+        sets = found.mapInArrow(collect_sets, "class bigint, shingles array<bigint>")
+        sets = pinned(sets.dropDuplicates(["class"]))
+        self.sets = sets if self.sets is None else self.sets.union(sets)
 
 
 def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -164,6 +185,56 @@ def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of ``shared`` under keys whose classes lie in different components, with each
+    class's ``root`` and the key's ``main`` root, which most of its classes have."""
+    placed = pinned(shared.join(roots, "class"))
+    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("classes")
+    )
+    # Under a key of two classes, the only pair was compared at first.
+    return pinned(placed.join(main.where("roots > 1 AND classes > 2").select("key", "main"), "key"))
+
+
+@F.udf(IntegerType())
+def distance(one: bytes, other: bytes) -> int:
+    """The positions in which two signatures differ."""
+    return int((np.frombuffer(one, np.uint16) != np.frombuffer(other, np.uint16)).sum())
+
+
+def with_distance(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+    """The distinct pairs ``a, b`` of classes with the distance of their signatures."""
+    pairs = pairs.select("a", "b").distinct()
+    for side in "ab":
+        own = classes.select(F.col("class").alias(side), F.col("signature").alias(f"signature_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.select("a", "b", distance("signature_a", "signature_b").alias(name))
+
+
+def pairs_across(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b``: pairs under a key that lie in different components and may be near.
+
+    By the triangle inequality, a class is farther than GUARANTEED from all classes of a component
+    if its distance from the component's root exceeds theirs by more than that. This excludes most
+    pairs of a chance visitor and a large group, before any of them are made.
+    """
+    of_root = with_distance(placed.select(F.col("class").alias("a"), F.col("root").alias("b")), classes, "to_root")
+    members = pinned(placed.join(of_root.select(F.col("a").alias("class"), "to_root"), "class"))
+    reach = members.groupBy("key", "root").agg(F.max("to_root").alias("reach"))
+    outside = members.where("root != main").select("key", "head", F.col("class").alias("a"), F.col("root").alias("root_a"))
+    facing = pinned(outside.join(reach, "key").where("root_a != root"))
+    gap = with_distance(facing.select("a", F.col("root").alias("b")), classes, "gap").withColumnRenamed("b", "root")
+    open_ = facing.join(gap, ["a", "root"]).where(F.col("gap") - F.col("reach") <= GUARANTEED)
+    others = members.select("key", "root", F.col("class").alias("b"), "to_root")
+    return (
+        open_.join(others, ["key", "root"])
+        .where((F.col("gap") - F.col("to_root") <= GUARANTEED) & (F.col("a") != F.col("head")) & (F.col("b") != F.col("head")))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_key, n_shingles, component_id, kept``.
 
@@ -184,27 +255,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     filed = index_keys(classes)
     heads = filed.groupBy("key").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1")
     shared = settle_down(filed.join(heads.select("key", "head"), "key"), "near-shared")
-    to_head = shared.where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct()
-    links = pinned(confirmed(to_head, classes, docs, size, percent))
-
-    # What the heads did not connect: classes of a key that lie in different components. Those of
-    # the component with most classes under the key are compared with all others, never pairwise.
-    roots = pinned(rooted(classes, links))
-    placed = shared.join(roots, "class")
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"))
-    open_keys = largest.where("roots > 1").select("key", "main")
-    placed = pinned(placed.join(open_keys, "key"))
-    outside = placed.where("root != main").select("key", F.col("class").alias("a"), F.col("root").alias("root_a"), "head")
-    across = (
-        outside.join(placed.select("key", F.col("class").alias("b"), "root"), "key")
-        .where("root_a != root AND a != head AND b != head")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
-    more = confirmed(across, classes, docs, size, percent)
-    merged = links.union(more)
-    roots = rooted(classes, merged)
+    confirmer = Confirmer(docs, classes, size, percent)
+    links = confirmer.links(shared.where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
+    for turn in range(1, ROUNDS + 1):
+        placed = mixed_keys(shared, rooted(classes, links))
+        # One member of the key's largest component, another one in each round.
+        order = F.xxhash64(F.lit(turn), "class")
+        member = placed.where("root = main").groupBy("key").agg(F.min_by("class", order).alias("b"))
+        outside = placed.where("root != main").select("key", F.col("class").alias("a"))
+        found = confirmer.links(outside.join(member, "key").select("a", "b").distinct())
+        if found.isEmpty():
+            break
+        links = pinned(links.union(found))
+
+    # What the rounds did not connect is compared with every class of another component.
+    placed = mixed_keys(shared, rooted(classes, links))
+    roots = rooted(classes, links.union(confirmer.links(pairs_across(placed, classes))))
 
     members = classes.select("class", "set_key", "doc_id").join(roots, "class")
     least_id = members.groupBy("root").agg(F.min("doc_id").alias("component"))
