@@ -8,6 +8,7 @@ holds a large share of all rows is cut into several files instead of filling one
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,14 @@ def write_partitioned(df: DataFrame, folder: str, files: int, column: str) -> No
 
 
 def write_zordered(
-    df: DataFrame, folder: str, files: int, keys: Sequence[str], bits: int = 6
+    df: DataFrame, folder: str, files: int, keys: Sequence[str], bits: int | None = None
 ) -> None:
-    """Files along the z-order curve of ``keys``: readers skip by any of the keys."""
+    """Files along the z-order curve of ``keys``: readers skip by any of the keys.
+
+    ``bits`` per key: by default so many that the curve has at least 16 cells per file.
+    """
+    if bits is None:
+        bits = max(6, ceil(log2(16 * max(files, 1)) / len(keys)))
     curve = df.withColumn("_z", z_value(df, keys, bits))
     _ranged(curve, files, ["_z"]).drop("_z").write.parquet(folder)
 
@@ -55,13 +61,13 @@ def z_value(df: DataFrame, keys: Sequence[str], bits: int = 6) -> Column:
     """
     steps = [i / 2**bits for i in range(1, 2**bits)]
     cuts = df.agg(*(F.percentile_approx(k, steps).alias(k) for k in keys)).first()
-    z = F.lit(0)
+    z = F.lit(0).cast("bigint")
     for position, key in enumerate(keys):
         rank = _rank_bucket(F.col(key), sorted(set(cuts[key] or [])), 2**bits)
         for bit in range(bits):
             # Bit b of key p goes to bit b * len(keys) + (last key - p).
             target = bit * len(keys) + len(keys) - 1 - position
-            moved = F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1), target)
+            moved = F.shiftleft(F.shiftright(rank.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint")), target)
             z = z.bitwiseOR(moved)
     return z
 

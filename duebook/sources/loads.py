@@ -11,10 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StructType
 
 from duebook.operators.matching import merge_rows
-from duebook.session import path_exists
+from duebook.session import path_exists, settle_down
 
 VERSION = "_load_version"
 _LOG = "version BIGINT, timestamp TIMESTAMP, operation STRING, base BIGINT, columns STRING"
@@ -121,7 +121,8 @@ def load_new_files(
 ) -> int:
     """Load the CSV files of ``folder`` that no earlier call has loaded; returns their number.
 
-    Types are inferred from the files and new columns are merged into the table. The names of
+    Columns go by name: files may differ in the order and number of their columns. Types are
+    inferred from the files and new columns are merged into the table. The names of
     the loaded files are written inside the load, before it is logged: rows and names become
     visible together, and finding new files never reads the rows.
     """
@@ -134,21 +135,53 @@ def load_new_files(
         number = done + 1
     else:
         number = 0
-    # The reader takes the file names as arguments; Spark's own file index holds the same list.
-    names = [row.path for row in found.select("path").collect()]
-    if not names:
+    found = settle_down(found.join(headers_of(spark, folder, pattern), "path"), "new-files")
+    rows = None
+    # One read per different header: within it, columns have the same order in all files. The
+    # reader takes the file names as arguments; Spark's own file index holds the same list.
+    for kind in found.select("header").distinct().orderBy("header").collect():
+        same_header = found.where(F.col("header") == kind.header).select("path")
+        part = (
+            spark.read.option("header", True)
+            .option("inferSchema", True)
+            .csv([row.path for row in same_header.collect()])
+            .withColumn("_source_file", F.col("_metadata.file_path"))
+        )
+        rows = part if rows is None else union_widened(rows, part)
+    if rows is None:
         return 0
-    rows = (
-        spark.read.option("header", True)
-        .option("inferSchema", True)
-        .csv(names)
-        .withColumn("_source_file", F.col("_metadata.file_path"))
-    )
-    listed = spark.createDataFrame([(name, number) for name in names], "path STRING, in_load BIGINT")
+    listed = found.select("path", F.lit(number).cast("bigint").alias("in_load"))
     if names_of.exists():
         # Names of a load that died before it was logged are dropped here.
         earlier = names_of.read().where(F.col("in_load") < number)
         listed = earlier.unionByName(listed)
     names_of.replace(listed, "list")
     table.append(rows, "load")
-    return len(names)
+    return found.count()
+
+
+def headers_of(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """The first line of each file. Grain: one row per file that is not empty: ``path``, ``header``."""
+    lines = (
+        spark.read.option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .text(folder)
+        .where("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_at"), "value")
+    )
+    first = lines.groupBy("path").agg(F.min("_at").alias("_at"))
+    return lines.join(first, ["path", "_at"]).select("path", F.col("value").alias("header"))
+
+
+def union_widened(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Union by name with missing columns as nulls; a column whose types clash becomes text."""
+    kinds = {f.name: f.dataType for f in one.schema.fields}
+    clashes = [
+        f.name
+        for f in other.schema.fields
+        if f.name in kinds
+        and f.dataType != kinds[f.name]
+        and not (isinstance(f.dataType, NumericType) and isinstance(kinds[f.name], NumericType))
+    ]
+    text = {name: F.col(name).cast("string") for name in clashes}
+    return one.withColumns(text).unionByName(other.withColumns(text), allowMissingColumns=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from duebook.session import path_exists
 from duebook.sources.files import stream_csv, stream_json
 
 
@@ -15,6 +16,8 @@ def drain(stream: DataFrame, folder: str, checkpoint: str) -> int:
     The checkpoint remembers the files read, and the sink commits each batch once: a rerun adds
     only new files, and a rerun after a failure repeats no row.
     """
+    spark = stream.sparkSession
+    before = _stored(spark, folder)
     query = (
         stream.writeStream.format("parquet")
         .option("path", folder)
@@ -23,17 +26,12 @@ def drain(stream: DataFrame, folder: str, checkpoint: str) -> int:
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return _stored(spark, folder) - before
 
 
-def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> None:
-    """The same into a catalog table, created on first use."""
-    query = (
-        stream.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .toTable(table)
-    )
-    query.awaitTermination()
+def _stored(spark: SparkSession, folder: str) -> int:
+    """Rows in a folder of Parquet files, from their footers; 0 if there is none yet."""
+    return spark.read.parquet(folder).count() if path_exists(spark, f"{folder}/_spark_metadata") else 0
 
 
 def ingest_csv(

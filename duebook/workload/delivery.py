@@ -179,6 +179,30 @@ def bulk_load_once(spark, sf):
     )
 
 
+@query(
+    "bulk_load_mixed_headers",
+    Columns(ints="o_orderkey o_custkey", nums="o_totalprice", texts="o_orderstatus"),
+    "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS o_custkey, "
+    "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice, o_orderstatus FROM orders",
+)
+def bulk_load_mixed_headers(spark, sf):
+    """One call over files with a reordered, an additional and a missing column."""
+    folder = scratch_folder(spark, "bulk")
+    orders = _orders(spark, sf)
+    headers = {
+        "O": ["o_orderkey", "o_totalprice", "o_orderstatus"],
+        "F": ["o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey"],
+        "P": ["o_orderstatus", "o_orderkey"],
+    }
+    for status, columns in headers.items():
+        _write_csv(orders.where(F.col("o_orderstatus") == status).select(columns), f"{folder}/in/{status}")
+    target = LoadedTable(spark, f"{folder}/table")
+    load_new_files(spark, target, f"{folder}/in")
+    types = {f.name: f.dataType.simpleString() for f in target.read().schema.fields}
+    assert types["o_totalprice"] == "double" and types["o_orderkey"] in ("int", "bigint"), types
+    return target.read()
+
+
 @query(
     "stream_ingest",
     _ORDERS,

@@ -141,3 +141,29 @@ def test_json_stream_equals_batch_read(spark, folder):
         f.read_json(spark, f"{folder}/in/*", SCHEMA), *columns
     )
     assert newest_per_key(spark.read.parquet(f"{folder}/raw"), ["ID"]).count() == 2
+
+
+def test_one_load_of_files_with_different_headers(spark, folder):
+    lines(spark, folder, "in/a.csv", "id,amt", "1,10.5", "2,20.5")
+    lines(spark, folder, "in/b.csv", "amt,id,more", "30.5,3,x")
+    lines(spark, folder, "in/c.csv", "id", "4")
+    table = LoadedTable(spark, f"{folder}/table")
+    assert load_new_files(spark, table, f"{folder}/in", "part-*") == 3
+    assert load_new_files(spark, table, f"{folder}/in", "part-*") == 0
+    out = table.read()
+    assert {f.name: f.dataType.simpleString() for f in out.schema.fields if f.name[0] != "_"} == {
+        "id": "int", "amt": "double", "more": "string",
+    }
+    same(out.select("id", "amt", "more"), [(1, 10.5, None), (2, 20.5, None), (3, 30.5, "x"), (4, None, None)])
+
+
+def test_rows_of_more_batches_than_spark_remembers(spark, folder):
+    for i in range(6):
+        lines(spark, folder, f"in/f{i}", "ID,STATUS,AMT", f"{i},C,1.0")
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        added = ingest_csv(spark, f"{folder}/in", f"{folder}/raw", f"{folder}/state", SCHEMA, files_per_batch=1)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert added == 6
