@@ -11,7 +11,7 @@ import xxhash
 
 #: Text handled at once inside a task. It bounds the memory of a Python worker, except that a
 #: single longer text is always handled whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(

@@ -20,8 +20,8 @@ from duebook.llm import (
     sharding,
     token_files,
 )
-from duebook.llm.rows import documents, in_fold, pinned
-from duebook.session import scratch_folder, use_runtime_settings
+from duebook.llm.rows import documents, in_fold, pinned, prepare
+from duebook.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +29,7 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_runtime_settings(spark)
+        prepare(spark)
         return build(spark, sf_dir)
 
     QUERIES[build.__name__] = run

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.session import scratch_folder
+from duebook.session import scratch_folder, use_runtime_settings
 
 #: White space that separates words: space, and tab to carriage return.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -43,6 +43,13 @@ def in_fold(doc_id: str, folds: int) -> Column:
     return F.crc32(text) % folds == 0
 
 
+def prepare(spark: SparkSession) -> None:
+    """Planner settings, and Arrow batches of few rows: a row holds a whole text, and each task
+    has several batches in memory, in the JVM as well as in Python."""
+    use_runtime_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from there, partitions and order kept."""
     spark = df.sparkSession
