@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import line_dedup, mixing, near_dedup, packing, quality
-from duebook.llm.rows import documents
-from duebook.session import scratch_folder, use_runtime_settings
+from duebook.llm.rows import documents, prepare
+from duebook.session import scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the isolation forest keep."""
+    prepare(spark)
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that other documents hold; ``n_chars`` follows the text."""
+    prepare(spark)
     done = line_dedup.drop_lines(docs)
     n_chars = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
     return done.withColumn("n_chars", n_chars)
@@ -25,16 +27,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8)."""
+    prepare(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in mixed order of their sources."""
+    prepare(spark)
     return mixing.mix(docs, mixing.tempered_weights(docs))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens, packed in stored order."""
+    prepare(spark)
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(docs, str(tokenizer), end_id=1)
 
@@ -52,7 +57,6 @@ ORACLE_SQL = None  # a forest, signatures and a tokenizer: held against brute fo
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage is written to the shared folder and read again."""
-    use_runtime_settings(spark)
     docs = documents(spark, sf_dir)
     folder = scratch_folder(spark, "pipeline")
     for name, stage in STAGES[:-1]:
