@@ -125,7 +125,8 @@ def mix(docs: DataFrame, weights: DataFrame) -> DataFrame:
 
 def mixed_order(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """``doc_id, source, block, slot, position``: each row's place in the mix, counted from 0."""
-    placed = interleaved(docs.select("doc_id", "source", "text"), weights)
+    # A hash stands for the text, which would otherwise move with its row.
+    placed = interleaved(docs.select("doc_id", "source", F.xxhash64("text").alias("text")), weights)
     placed = placed.select("row.doc_id", "source", "block", "slot", "place")
     total = docs.agg(F.count("*").alias("n")).first().n
     reach = max(1, round((total / BLOCK_ROWS) ** 0.5))
