@@ -31,7 +31,7 @@ SYMBOLS = "#*$%&|<>"
 MARKS = b"!?.,;:"
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 
-#: Rows of statistics the forest is grown on at most, rows per tree, and trees.
+#: Rows of statistics the forest is grown on (twice as many at most), rows per tree, and trees.
 SAMPLE_ROWS, TREE_ROWS, TREES = 20_000, 256, 100
 #: Share of the good labelled rows that calibration may reject at most.
 GOOD_LOST = 0.005
@@ -193,6 +193,18 @@ def matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([batch.column(n).to_numpy(zero_copy_only=False) for n in (*BASE, *MORE)])
 
 
+def sample(passing: DataFrame) -> np.ndarray:
+    """Some SAMPLE_ROWS rows of statistics (all, if there are fewer), in an order of their own.
+
+    Rows are drawn by a hash of id and statistics, so no rows are sorted or moved but those drawn.
+    """
+    total = passing.count()
+    drawn = F.pmod(F.xxhash64(F.lit(11), "doc_id", *BASE), F.lit(max(total, 1))) < SAMPLE_ROWS
+    # Copies of one row are drawn together; the limit bounds what they may add.
+    found = passing.where(drawn).limit(2 * SAMPLE_ROWS).select(*BASE, *MORE).collect()
+    return np.array(sorted(map(tuple, found)), np.int64)
+
+
 def fit(stats: DataFrame, labels: DataFrame, good_lost: float = GOOD_LOST) -> Model | None:
     """Grow the forest on a bounded sample of ``stats``; place the limit by ``labels``.
 
@@ -202,8 +214,7 @@ def fit(stats: DataFrame, labels: DataFrame, good_lost: float = GOOD_LOST) -> Mo
     row passes the base rules.
     """
     passing = stats.where("n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words")
-    sampled = passing.orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id", *BASE).limit(SAMPLE_ROWS)
-    rows = np.array(sampled.select(*BASE, *MORE).collect(), np.int64)
+    rows = sample(passing)
     if not len(rows):
         return None
     usual = np.median(ratios(rows), axis=0)
