@@ -95,24 +95,24 @@ def interleaved(docs: DataFrame, weights: DataFrame, block_rows: int = BLOCK_ROW
     total = docs.agg(F.count("*").alias("n")).first().n
     cells = max(1, round(total**0.5))
     order = [F.xxhash64(F.lit(9), "_id"), F.col("_id"), F.col("_text")]
-    rows = packed(docs, source=F.col("source"), _id=F.col("doc_id"), _text=F.xxhash64("text"))
+    # Never null, so that plain equality serves and the window's placement also serves the join.
+    named = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    rows = packed(docs, source=F.col("source"), _name=named, _id=F.col("doc_id"), _text=F.xxhash64("text"))
     rows = rows.withColumn("_cell", F.pmod(F.xxhash64(F.lit(8), "_id"), F.lit(cells)).cast("int"))
     # Rows of the earlier cells of the source: at most sources * sqrt(rows) small rows.
-    sizes = docs.groupBy("source", F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(cells)).cast("int").alias("_cell")).count()
-    earlier = Window.partitionBy("source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("source").alias("_s"), F.col("_cell").alias("_c"), F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy("source", "_cell").orderBy(*order)
+    sizes = docs.groupBy(named.alias("_name"), F.pmod(F.xxhash64(F.lit(8), "doc_id"), F.lit(cells)).cast("int").alias("_cell")).count()
+    earlier = Window.partitionBy("_name").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_name", "_cell", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_name", "_cell").orderBy(*order)
     ranked = rows.withColumn("_rank", F.row_number().over(inside) - 1)
-    same = ranked["source"].eqNullSafe(starts["_s"]) & (ranked["_cell"] == starts["_c"])
-    ranked = ranked.join(starts, same).select("row", "source", (F.col("_start") + F.col("_rank")).alias("_rank"))
+    ranked = ranked.join(starts, ["_name", "_cell"]).select("row", "source", "_name", (F.col("_start") + F.col("_rank")).alias("_rank"))
 
     shares = tickets(docs.select("source").distinct(), weights, cycle)
     plan = schedule(shares)
-    blocks = ranked.join(shares.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
+    # One row per source, and below one per slot of a cycle: their size depends on the sources alone.
+    by_name = shares.select(named.alias("_name"), "number", "tickets", "cycle")
+    blocks = ranked.join(F.broadcast(by_name), "_name")
     blocks = blocks.withColumn("block", F.floor(F.col("_rank") / block_rows)).withColumn("turn", (F.col("block") % F.col("tickets")).cast("int"))
-    # One row per slot of a cycle; its size depends on the number of sources alone.
     placed = blocks.join(F.broadcast(plan.withColumnRenamed("slot", "_slot")), ["number", "turn"])
     slot = F.floor(F.col("block") / F.col("tickets")) * F.col("cycle") + F.col("_slot")
     return placed.select("row", "source", "block", slot.cast("bigint").alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"))
