@@ -6,7 +6,8 @@
    CHUNKS * (ERRORS + 1) - 1 positions, then some chunk differs in at most ERRORS of its positions
    (pigeonhole). So each class is filed once per chunk and choice of ERRORS positions to leave out,
    under the remaining values: all pairs within that distance meet under some key.
-3. Under a key, each class is first compared with the least class only. Classes that these links
+3. Under a key, a class is first compared with the least class only: of all its keys, with the one
+   it meets most often, then with others that are not connected yet. Classes that these links
    already connect need no further comparison. In further rounds, the classes outside a key's
    largest component are each compared with one member of it, another one each round, as long as
    that finds links; what is left at last is compared with all classes of other components. So a
@@ -129,11 +130,15 @@ def index_keys(classes: DataFrame) -> DataFrame:
 
 
 class Confirmer:
-    """Compares pairs of classes by their full sets, which it keeps once they were needed."""
+    """Compares pairs of classes by their full sets, made of texts that it keeps once needed.
+
+    Texts travel, not sets: a set of random hashes takes more room than the text and can't be
+    compressed.
+    """
 
     def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int):
         self.docs, self.classes, self.size, self.percent = docs, classes, size, percent
-        self.sets: DataFrame | None = None
+        self.texts: DataFrame | None = None
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of classes whose full sets are similar enough."""
@@ -148,33 +153,38 @@ class Confirmer:
         self._fetch(close.select(F.col("a").alias("class")).union(close.select("b")).distinct())
         both = close
         for side in "ab":
-            own = self.sets.select(F.col("class").alias(side), F.col("shingles").alias(f"set_{side}"))
+            own = self.texts.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}"))
             both = both.join(own, side)
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        union = F.size("set_a") + F.size("set_b") - common
-        return pinned(both.where(100 * common >= self.percent * union).select("a", "b"))
+        size, percent = self.size, self.percent
+
+        def sets(texts: pa.Array) -> list[np.ndarray]:
+            coded = texts.dictionary_encode()  # a head's text stands in many rows in turn
+            own = list(shingle_sets(coded.dictionary, size))
+            return [own[i] for i in coded.indices.to_pylist()]
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text_a"):
+                similar = []
+                for one, other in zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True):
+                    common = len(np.intersect1d(one, other, assume_unique=True))
+                    similar.append(100 * common >= percent * (len(one) + len(other) - common))
+                yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
+
+        return pinned(both.mapInArrow(compare, "a bigint, b bigint"))
 
     def _fetch(self, needed: DataFrame) -> None:
-        if self.sets is not None:
-            needed = pinned(needed.join(self.sets, "class", "left_anti"))
+        if self.texts is not None:
+            needed = pinned(needed.join(self.texts.select("class"), "class", "left_anti"))
             if needed.isEmpty():
                 return
         # The text of one row of each class in question, by id and text.
         chosen = needed.join(self.classes, "class").select("class", "doc_id", "text_key")
-        rows, size = identified(self.docs), self.size
+        rows = identified(self.docs)
         same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_key"] == chosen["text_key"])
-        found = rows.join(chosen, same).select("class", "text")
-
-        def collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                sets = [s.view(np.int64) for s in shingle_sets(texts_of(batch), size)]
-                columns = {"class": batch.column("class"), "shingles": pa.array(sets, pa.list_(pa.int64()))}
-                yield pa.record_batch(columns)
-
-        # Copies of the row give the same set more than once.
-        sets = found.mapInArrow(collect_sets, "class bigint, shingles array<bigint>")
-        sets = pinned(sets.dropDuplicates(["class"]))
-        self.sets = sets if self.sets is None else self.sets.union(sets)
+        # Copies of the row give the same text more than once.
+        found = rows.join(chosen, same).select("class", "text").dropDuplicates(["class"])
+        found = settle_down(found, "near-texts")
+        self.texts = found if self.texts is None else self.texts.union(found)
 
 
 def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -256,7 +266,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     heads = filed.groupBy("key").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1")
     shared = settle_down(filed.join(heads.select("key", "head"), "key"), "near-shared")
     confirmer = Confirmer(docs, classes, size, percent)
-    links = confirmer.links(shared.where("class != head").select(F.col("class").alias("a"), F.col("head").alias("b")).distinct())
+    # Each class meets the head that it shares most keys with first, then those heads that lie in
+    # other components still: members of a group of copies have many heads in common.
+    headed = pinned(shared.where("class != head").groupBy("class", "head").agg(F.count("*").alias("n")))
+    nearest = headed.groupBy("class").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("nearest"))
+    nearest = pinned(nearest)
+    links = confirmer.links(nearest.select(F.col("class").alias("a"), F.col("nearest").alias("b")))
+    roots = rooted(classes, links)
+    of_head = roots.select(F.col("class").alias("head"), F.col("root").alias("root_h"))
+    rest = headed.join(nearest, "class").where("head != nearest").join(roots, "class").join(of_head, "head")
+    rest = rest.where("root != root_h").select(F.col("class").alias("a"), F.col("head").alias("b"))
+    links = pinned(links.union(confirmer.links(rest)))
     for turn in range(1, ROUNDS + 1):
         placed = mixed_keys(shared, rooted(classes, links))
         # One member of the key's largest component, another one in each round.
