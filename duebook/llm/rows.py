@@ -44,10 +44,11 @@ def in_fold(doc_id: str, folds: int) -> Column:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Planner settings, and Arrow batches of few rows: a row holds a whole text, and each task
+    """Planner settings, and Arrow batches of few rows and bytes: a row holds a whole text, and each task
     has several batches in memory, in the JVM as well as in Python."""
     use_runtime_settings(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 def pinned(df: DataFrame) -> DataFrame:
