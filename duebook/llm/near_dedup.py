@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from duebook.llm.batches import slices, texts_of, word_hashes
+from duebook.llm.batches import mixed, slices, texts_of, word_hashes
 from duebook.llm.components import components
 from duebook.llm.rows import identified, packed, pinned
 from duebook.session import settle_down
@@ -50,30 +50,27 @@ KEPT_POSITIONS = list(combinations(range(CHUNK_POSITIONS), CHUNK_POSITIONS - ERR
 _DRAWN = np.random.default_rng(20_240_501)
 FACTORS = _DRAWN.integers(1, 2**63, POSITIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAWN.integers(0, 2**63, POSITIONS, np.uint64)
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values."""
-    values = (values ^ (values >> np.uint64(32))) * MIX
-    values = (values ^ (values >> np.uint64(29))) * MIX
-    return values ^ (values >> np.uint64(32))
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text: ``size`` words, or all if there are fewer."""
     words, starts = word_hashes(texts)
+    # The windows at all words at once; those that leave their text are not used.
+    windows = _windows(words, size)
     for low, high in zip(starts, starts[1:], strict=False):
-        own = words[low:high]
-        count = len(own) - size + 1
-        if not len(own):
-            yield own
-            continue
-        width = size if count > 0 else len(own)
-        value = np.zeros(max(count, 1), np.uint64)
-        for i in range(width):
-            value = mixed(value) + own[i : i + max(count, 1)]
-        yield np.unique(mixed(value + np.uint64(width)))
+        if high - low >= size:
+            yield np.unique(windows[low : high - size + 1])
+        else:
+            yield _windows(words[low:high], high - low)
+
+
+def _windows(words: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each window of ``width`` words."""
+    count = max(len(words) - width + 1, 0) if width else 0
+    value = np.zeros(count, np.uint64)
+    for i in range(width):
+        value = mixed(value) + words[i : i + count]
+    return mixed(value + np.uint64(width))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
