@@ -204,10 +204,11 @@ def mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return pinned(placed.join(main.where("roots > 1 AND classes > 2").select("key", "main"), "key"))
 
 
-@F.udf(IntegerType())
-def distance(one: bytes, other: bytes) -> int:
+@F.arrow_udf(IntegerType())
+def distance(one: pa.Array, other: pa.Array) -> pa.Array:
     """The positions in which two signatures differ."""
-    return int((np.frombuffer(one, np.uint16) != np.frombuffer(other, np.uint16)).sum())
+    sides = (np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(-1, POSITIONS) for x in (one, other))
+    return pa.array(np.not_equal(*sides).sum(axis=1).astype(np.int32))
 
 
 def with_distance(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
