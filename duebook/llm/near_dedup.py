@@ -37,7 +37,7 @@ from pyspark.sql.types import IntegerType
 from duebook.llm.batches import mixed, slices, texts_of, word_hashes
 from duebook.llm.components import components
 from duebook.llm.rows import identified, packed, pinned
-from duebook.session import settle_down
+from duebook.session import broadcast_if_small, settle_down
 
 CHUNKS, CHUNK_POSITIONS, ERRORS = 7, 6, 2
 POSITIONS = CHUNKS * CHUNK_POSITIONS
@@ -137,18 +137,26 @@ class Confirmer:
         self.docs, self.classes, self.size, self.percent = docs, classes, size, percent
         self.texts: DataFrame | None = None
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` of classes whose full sets are similar enough."""
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """The rows of ``pairs`` whose classes ``a, b`` may be near by set size and signature.
+
+        Their texts are at hand from then on.
+        """
+        columns = pairs.columns
         facts = self.classes.select("class", "signature", "n_shingles")
         for side in "ab":
             own = facts.select(*(F.col(c).alias(f"{c}_{side}") for c in facts.columns))
             pairs = pairs.join(own, F.col(side) == F.col(f"class_{side}"))
 
         small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-        close = pairs.where(100 * small >= self.percent * large)
-        close = pinned(close.where(distance("signature_a", "signature_b") <= GUARANTEED).select("a", "b"))
-        self._fetch(close.select(F.col("a").alias("class")).union(close.select("b")).distinct())
-        both = close
+        near = pairs.where(100 * small >= self.percent * large)
+        near = pinned(near.where(distance("signature_a", "signature_b") <= GUARANTEED).select(columns))
+        self._fetch(near.select(F.col("a").alias("class")).union(near.select("b")).distinct())
+        return near
+
+    def links(self, close: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` of ``close`` whose full sets are similar enough."""
+        both = close.select("a", "b")
         for side in "ab":
             own = self.texts.select(F.col("class").alias(side), F.col("text").alias(f"text_{side}"))
             both = both.join(own, side)
@@ -176,6 +184,9 @@ class Confirmer:
                 return
         # The text of one row of each class in question, by id and text.
         chosen = needed.join(self.classes, "class").select("class", "doc_id", "text_key")
+        if self.texts is not None:
+            # The first call brings nearly all texts; for the few that follow, texts stay where they are.
+            chosen = broadcast_if_small(chosen)
         rows = identified(self.docs)
         same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["text_key"] == chosen["text_key"])
         # Copies of the row give the same text more than once.
@@ -266,29 +277,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     confirmer = Confirmer(docs, classes, size, percent)
     # Each class meets the head that it shares most keys with first, then those heads that lie in
     # other components still: members of a group of copies have many heads in common.
-    headed = pinned(shared.where("class != head").groupBy("class", "head").agg(F.count("*").alias("n")))
-    nearest = headed.groupBy("class").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("nearest"))
-    nearest = pinned(nearest)
-    links = confirmer.links(nearest.select(F.col("class").alias("a"), F.col("nearest").alias("b")))
+    met = shared.where("class != head").groupBy("class", "head").agg(F.count("*").alias("n"))
+    headed = confirmer.close(met.select(F.col("class").alias("a"), F.col("head").alias("b"), "n"))
+    nearest = pinned(headed.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
+    links = confirmer.links(nearest)
     roots = rooted(classes, links)
-    of_head = roots.select(F.col("class").alias("head"), F.col("root").alias("root_h"))
-    rest = headed.join(nearest, "class").where("head != nearest").join(roots, "class").join(of_head, "head")
-    rest = rest.where("root != root_h").select(F.col("class").alias("a"), F.col("head").alias("b"))
-    links = pinned(links.union(confirmer.links(rest)))
+    rest = headed.select("a", "b").join(nearest, ["a", "b"], "left_anti")
+    for side in "ab":
+        rest = rest.join(roots.select(F.col("class").alias(side), F.col("root").alias(f"root_{side}")), side)
+    links = pinned(links.union(confirmer.links(rest.where("root_a != root_b"))))
     for turn in range(1, ROUNDS + 1):
         placed = mixed_keys(shared, rooted(classes, links))
         # One member of the key's largest component, another one in each round.
         order = F.xxhash64(F.lit(turn), "class")
         member = placed.where("root = main").groupBy("key").agg(F.min_by("class", order).alias("b"))
         outside = placed.where("root != main").select("key", F.col("class").alias("a"))
-        found = confirmer.links(outside.join(member, "key").select("a", "b").distinct())
+        found = confirmer.links(confirmer.close(outside.join(member, "key").select("a", "b").distinct()))
         if found.isEmpty():
             break
         links = pinned(links.union(found))
 
     # What the rounds did not connect is compared with every class of another component.
     placed = mixed_keys(shared, rooted(classes, links))
-    roots = rooted(classes, links.union(confirmer.links(pairs_across(placed, classes))))
+    across = confirmer.close(pairs_across(placed, classes))
+    roots = rooted(classes, links.union(confirmer.links(across)))
 
     members = classes.select("class", "set_key", "doc_id").join(roots, "class")
     least_id = members.groupBy("root").agg(F.min("doc_id").alias("component"))
