@@ -2,12 +2,13 @@
 
 The tree's symbols are the bytes of a text's tokens: words joined by single spaces, then an end symbol, so
 its probability is one of the token sequence, unseen words included. Contexts of up to DEPTH
-symbols are counted over all training texts. A context is a candidate if at least LEAST_SHARE
-of all symbols follow it, so their number has a fixed bound whatever the size of the corpus; it
-is retained if its next symbols diverge from those of its suffix by more than a description of
-them costs (BIC). Next-symbol distributions are smoothed with those of the suffix. A text is scored
-with the longest retained suffix at each symbol, through the tree's automaton: texts are cut into
-segments that warm up on the DEPTH symbols before them, and all segments advance in step.
+symbols are counted over all training texts. A context is a candidate if at least LEAST_COUNT
+symbols follow it, so the tree grows with the corpus; it is retained if its next symbols diverge
+from those of its suffix by more than a description of them costs (BIC). Next-symbol distributions
+are smoothed with those of the suffix. A text is scored with the longest retained suffix at each
+symbol. That is a function of the symbol and the DEPTH symbols before it, its gram: retained contexts
+stay distributed; the most frequent grams, at most HOT_GRAMS, are looked up inside the scan, and the others
+are joined with their contexts by hash and depth.
 
 Word counts for the base grow with the corpus and stay distributed. Words above 1/HOT_SHARE of all
 tokens, fewer than HOT_SHARE, are looked up inside the scan; the others are joined by hash.
@@ -29,12 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duebook.llm.batches import large, slices, texts_of, word_hashes
+from duebook.llm.batches import MIX, large, slices, texts_of, word_hashes
 from duebook.session import settle_down
 
 DEPTH = 5
-LEAST_SHARE, LEAST_COUNT = 1e-5, 20
-HOT_SHARE = 50_000
+LEAST_COUNT = 20
+HOT_SHARE, HOT_GRAMS = 50_000, 1_000_000
 SEGMENT = 1_024
 #: Distinct counts that a task gathers before it passes them on.
 GATHERED = 3_000_000
@@ -119,7 +120,10 @@ def training_counts(training: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class SuffixTree:
-    """The automaton of the retained contexts: next state and log10 probability by symbol."""
+    """The automaton of the retained contexts: next state and log10 probability by symbol.
+
+    The model of a small corpus in one piece, which the distributed scores are held against.
+    """
 
     step: np.ndarray  # states x 256
     log10: np.ndarray  # states x 256
@@ -164,10 +168,8 @@ def context_table(grams: DataFrame) -> DataFrame:
     levels = F.array(*(F.struct(F.lit(k).alias("depth"), F.col("key").bitwiseAND(F.lit(m)).alias("gram")) for k, m in enumerate(masks)))
     by_level = grams.select("n", F.inline(levels)).groupBy("depth", "gram").agg(F.sum("n").alias("n"))
     by_level = settle_down(by_level, "lm-grams")
-    total = by_level.where("depth = 0").agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_COUNT, LEAST_SHARE * total)
     contexts = by_level.groupBy("depth", F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n_context"))
-    contexts = contexts.where((F.col("n_context") >= least) | (F.col("depth") == 0))
+    contexts = contexts.where((F.col("n_context") >= LEAST_COUNT) | (F.col("depth") == 0))
     inside = by_level.withColumn("context", F.shiftright("gram", 8)).join(contexts, ["depth", "context"])
     suffix = F.col("gram").bitwiseAND(F.element_at(F.array(*map(F.lit, [0, *masks[:-1]])), F.col("depth") + 1))
     shorter = inside.select((F.col("depth") + 1).alias("depth"), F.col("gram").alias("_suffix"), F.col("n").alias("n_suffix"), F.col("n_context").alias("n_all"))
@@ -182,7 +184,7 @@ def context_table(grams: DataFrame) -> DataFrame:
 
 
 def grow(contexts: DataFrame) -> SuffixTree:
-    """The tree from the candidates; at most DEPTH / LEAST_SHARE rows go to the driver."""
+    """The tree of a small corpus, from all of its candidates."""
     found = {(r.depth, r.context): r for r in contexts.collect()}
 
     def retained(row) -> bool:
@@ -232,6 +234,103 @@ def grow(contexts: DataFrame) -> SuffixTree:
     return SuffixTree(step, np.log10(chance).astype(np.float32))
 
 
+def predicting(contexts: DataFrame) -> DataFrame:
+    """The contexts that predict: the empty one, the retained ones, and every suffix of these."""
+    enough = F.col("gain") > 0.5 * F.size("symbols") * F.log("n")
+    suffixes = F.array(
+        *(F.struct(F.lit(k).alias("depth"), F.col("context").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("context")) for k in range(1, DEPTH + 1))
+    )
+    wanted = contexts.where((F.col("depth") > 0) & enough).select(F.inline(F.slice(suffixes, 1, F.col("depth")))).distinct()
+    kept = contexts.join(wanted, ["depth", "context"], "left_semi").unionByName(contexts.where("depth = 0"))
+    return settle_down(kept.drop("gain"), "lm-contexts")
+
+
+def shallow_chances(contexts: DataFrame) -> np.ndarray:
+    """Chances by the symbol before and the symbol, from the contexts of at most one symbol."""
+    rows = {(r.depth, r.context): r for r in contexts.where("depth <= 1").collect()}  # 257 at most
+
+    def smoothed(row, chance: np.ndarray) -> np.ndarray:
+        own = np.zeros(256)
+        own[row.symbols] = row.numbers
+        return (own + len(row.symbols) * chance) / (row.n + len(row.symbols))
+
+    root = np.full(256, 1 / 256)
+    if (0, 0) in rows:
+        root = smoothed(rows[0, 0], root)
+    return np.concatenate([smoothed(rows[1, c], root) if (1, c) in rows else root for c in range(256)])
+
+
+def log_chances(grams: DataFrame, contexts: DataFrame, shallow: np.ndarray) -> DataFrame:
+    """``gram, log10``: each (distinct) gram's probability by the longest of ``contexts`` it ends."""
+    table = pa.table({"pair": pa.array(np.arange(len(shallow))), "chance": pa.array(shallow)})
+    start = F.broadcast(grams.sparkSession.createDataFrame(table))
+    levels = F.array(
+        *(
+            F.struct(F.lit(k).alias("depth"), F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)), 8).alias("context"))
+            for k in range(2, DEPTH + 1)
+        )
+    )
+    asked = grams.select("gram", F.inline(levels)).join(contexts.where("depth > 1"), ["depth", "context"], "left")
+    symbol = F.col("gram").bitwiseAND(F.lit(255)).cast("int")
+    number = F.coalesce(F.get("numbers", F.array_position("symbols", symbol).cast("int") - 1), F.lit(0))
+    # Contexts that do not predict have no row; a list leaves their nulls out.
+    step = F.when(F.col("n").isNotNull(), F.struct("depth", number.alias("found"), F.col("n").alias("all"), F.size("symbols").alias("kinds")))
+    steps = asked.groupBy("gram").agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    chance = F.aggregate("steps", F.col("chance"), lambda p, s: (s["found"] + s["kinds"] * p) / (s["all"] + s["kinds"]))
+    pair = F.col("gram").bitwiseAND(F.lit(65_535))
+    return steps.join(start, pair == F.col("pair")).select("gram", F.log10(chance).alias("log10"))
+
+
+def frequent(grams: DataFrame) -> DataFrame:
+    """``gram``: those of the highest counts, as many whole bins of counts as HOT_GRAMS rows hold."""
+    place = F.floor(F.log2("n") * 4).cast("int")
+    bins = sorted(grams.groupBy(place.alias("bin")).count().collect(), reverse=True)  # 256 at most
+    held, least = 0, None
+    for bin, number in bins:
+        held += number
+        if held > HOT_GRAMS:
+            break
+        least = bin
+    chosen = F.lit(False) if least is None else place >= least
+    return grams.where(chosen).select(F.col("key").alias("gram"))
+
+
+class Lookup:
+    """Values (not NaN) of many keys at once, from a hash table with open addresses."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(2 * len(keys), 2).bit_length()
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.zeros(1 << bits, np.uint64), np.full(1 << bits, np.nan)
+        home, left = self._home(keys), np.arange(len(keys))
+        step = 0
+        while len(left):
+            place = (home[left] + step) & self.mask
+            free = np.flatnonzero(np.isnan(self.values[place]))
+            taken, first = np.unique(place[free], return_index=True)
+            put = left[free[first]]
+            self.keys[taken], self.values[taken] = keys[put], values[put]
+            left = np.delete(left, free[first])
+            step += 1
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * MIX) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, NaN where there is none."""
+        place = self._home(keys)
+        out = self.values[place]
+        left = np.flatnonzero((self.keys[place] != keys) & ~np.isnan(out))
+        place = place[left]
+        while len(left):
+            place = (place + 1) & self.mask
+            value = self.values[place]
+            out[left] = value
+            more = (self.keys[place] != keys[left]) & ~np.isnan(value)
+            left, place = left[more], place[more]
+        return out
+
+
 def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of each row of ``docs``.
 
@@ -239,16 +338,20 @@ def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     counts = settle_down(training_counts(training), "lm-counts")
-    tree = grow(context_table(counts.where(F.col("kind") == GRAMS).select("key", "n")))
+    grams = counts.where(F.col("kind") == GRAMS).select("key", "n")
+    contexts = predicting(context_table(grams))
+    shallow = shallow_chances(contexts)
+    found = log_chances(frequent(grams), contexts, shallow).toArrow()
+    lookup = Lookup(found["gram"].to_numpy().view(np.uint64), found["log10"].to_numpy())
     words = counts.where(F.col("kind") == WORDS).select(F.col("key").alias("token"), F.col("n").alias("count"))
     sums = words.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     bottom = sums.n + 0.1 * (sums.v + 1)
     often = words.where(F.col("count") > sums.n / HOT_SHARE).collect()  # fewer than HOT_SHARE
     hot = np.array(sorted((r.token, r["count"]) for r in often), np.int64).reshape(-1, 2)
-    shared = spark.sparkContext.broadcast((tree, hot))
+    shared = spark.sparkContext.broadcast((lookup, hot))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, hot = shared.value
+        lookup, hot = shared.value
         known, logs = hot[:, 0], np.log10((hot[:, 1] + 0.1) / bottom)
         end = np.uint64(END_TOKEN)
         row = TaskContext.get().partitionId() << 40
@@ -265,6 +368,17 @@ def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
                 n_known.append(int(number[is_hot].sum()))
                 tokens.append(found[~is_hot])
                 numbers.append(number[~is_hot].astype(np.int32))
+            cleaned = normalized(texts)
+            keys = gram_keys(cleaned)
+            begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, cleaned), np.int64, len(cleaned)) + 1)])
+            logs_of = lookup.find(keys)
+            unknown = np.flatnonzero(np.isnan(logs_of))
+            logs_of[unknown] = 0
+            rare, rare_numbers = [], []
+            for own_keys in np.split(keys[unknown], np.searchsorted(unknown, begin[1:-1])):
+                found, number = np.unique(own_keys, return_counts=True)
+                rare.append(found.view(np.int64))
+                rare_numbers.append(number.astype(np.int32))
             yield pa.record_batch(
                 {
                     "row": pa.array(row + np.arange(len(texts))),
@@ -272,16 +386,18 @@ def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
                     "n_tokens": pa.array(np.diff(starts) + 1),
                     "n_hot": pa.array(n_known, pa.int64()),
                     "base_hot": pa.array(base),
-                    "score": pa.array(np.add.reduceat(tree.token_scores(normalized(texts)), starts[:-1] + np.arange(len(texts)))),
+                    "score_hot": pa.array(np.add.reduceat(logs_of, begin[:-1])),
                     "tokens": pa.array(tokens, pa.list_(pa.int64())),
                     "numbers": pa.array(numbers, pa.list_(pa.int32())),
+                    "grams": pa.array(rare, pa.list_(pa.int64())),
+                    "gram_numbers": pa.array(rare_numbers, pa.list_(pa.int32())),
                 }
             )
             row += len(texts)
 
     ddl = (
-        "row bigint, doc_id bigint, n_tokens bigint, n_hot bigint, base_hot double, score double, "
-        "tokens array<bigint>, numbers array<int>"
+        "row bigint, doc_id bigint, n_tokens bigint, n_hot bigint, base_hot double, score_hot double, "
+        "tokens array<bigint>, numbers array<int>, grams array<bigint>, gram_numbers array<int>"
     )
     rows = settle_down(docs.select("doc_id", "text").mapInArrow(measure, ddl), "lm-rows")
     rare = rows.select("row", F.inline(F.arrays_zip("tokens", "numbers"))).toDF("row", "token", "number")
@@ -291,11 +407,17 @@ def scores(docs: DataFrame, training: DataFrame) -> DataFrame:
         F.sum(F.col("number") * F.log10((count + 0.1) / bottom)).alias("base_rare"),
         F.sum(F.when(count > 0, F.col("number")).otherwise(0)).alias("n_rare"),
     )
-    return rows.drop("tokens", "numbers").join(of_rare, F.col("row") == F.col("_row"), "left").select(
+    rare_grams = rows.select("row", F.inline(F.arrays_zip("grams", "gram_numbers"))).toDF("row", "gram", "number")
+    chances = log_chances(rare_grams.select("gram").distinct(), contexts, shallow)
+    of_grams = rare_grams.join(chances.hint("shuffle_hash"), "gram").groupBy(F.col("row").alias("_gram_row"))
+    of_grams = of_grams.agg(F.sum(F.col("number") * F.col("log10")).alias("score_rare"))
+    plain = rows.drop("tokens", "numbers", "grams", "gram_numbers")
+    joined = plain.join(of_rare, F.col("row") == F.col("_row"), "left").join(of_grams, F.col("row") == F.col("_gram_row"), "left")
+    return joined.select(
         "doc_id",
         "n_tokens",
         (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(sums.n).cast("bigint").alias("train_tokens"),
         (F.col("base_hot") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score_hot") + F.coalesce("score_rare", F.lit(0.0))).alias("score"),
     )
