@@ -5,7 +5,8 @@ bounded pool; the bin in hand takes, again and again, the fitting piece whose de
 largest dot product with the room that is left. Where cutting is allowed, a gap that no piece fits
 is filled with the head of the largest piece. Tasks pack the rows they read, so nothing is shuffled
 and neighbouring rows stay near each other; the open bin that a task is left with is cut into
-sequences whose lengths are powers of two, which need no padding.
+sequences whose lengths are powers of two, which need no padding. A bin that is closed by its segments
+before its tokens stays whole and is padded.
 
 Defined results: a null or empty text is the end token alone; a row without id is packed like any
 other; repeated rows are packed once each. Ids of sequences are unique, not gapless. They depend on
@@ -195,28 +196,37 @@ def pack_documents(
             if out:
                 yield table(out)
         bins = list(packer.rest())
-        left = [p for b in bins if sum(x.tokens for x in b) < limits.tokens for p in b]
-        out = rows(b for b in bins if sum(x.tokens for x in b) == limits.tokens)
-        out += rows(small for b in repacked(left, most) for small in (powers_of_two(b) if sum(p.tokens for p in b) < limits.tokens else [b]))
+        left = [p for b in bins if not closed(b, limits) for p in b]
+        out = rows(b for b in bins if closed(b, limits))
+        out += rows(small for b in repacked(left, limits) for small in ([b] if closed(b, limits) else powers_of_two(b)))
         if out:
             yield table(out)
 
     return docs.select("doc_id", "text").mapInArrow(pack, PIECES_DDL)
 
 
-def repacked(pieces: list[Piece], most: int) -> Iterator[list[Piece]]:
-    """Bins of ``most`` tokens from the pieces in a row, and a last bin with the rest."""
+def closed(pieces: list[Piece], limits: Limits) -> bool:
+    """Has a bin reached one of its limits?"""
+    tokens, loss = sum(p.tokens for p in pieces), sum(p.loss for p in pieces)
+    return tokens >= limits.tokens or len(pieces) >= limits.segments or loss >= limits.loss
+
+
+def repacked(pieces: list[Piece], limits: Limits) -> Iterator[list[Piece]]:
+    """Bins from the pieces in a row, each closed by one of the limits, and a last bin with the rest.
+
+    Every token of the pieces bears loss.
+    """
     current: list[Piece] = []
-    room = most
+    room = most = min(limits.tokens, limits.loss)
     for piece in pieces:
-        while piece.tokens >= room:
-            current.append(Piece(piece.owner, piece.start, room, min(piece.loss, room)))
-            yield current
-            piece = Piece(piece.owner, piece.start + room, piece.tokens - room, max(0, piece.loss - room))
-            current, room = [], most
-        if piece.tokens:
-            current.append(piece)
-            room -= piece.tokens
+        while piece.tokens:
+            taken = min(piece.tokens, room)
+            current.append(Piece(piece.owner, piece.start, taken, taken))
+            piece = Piece(piece.owner, piece.start + taken, piece.tokens - taken, piece.loss - taken)
+            room -= taken
+            if closed(current, limits):
+                yield current
+                current, room = [], most
     if current:
         yield current
 

@@ -140,6 +140,15 @@ def test_little_padding(spark):
     assert padded <= 0.01 * sum(sizes.values())
 
 
+@pytest.mark.parametrize("limits", [packing.Limits(), packing.Limits(tokens=256, segments=5, loss=100)])
+def test_tails_of_very_short_texts_keep_all_limits(spark, limits):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["alpha"] * rng.choice([0, 0, 0, 1, 2, 20])), "en", "a", 1) for i in range(2_000)]
+    pieces = packing.pack_documents(spark.createDataFrame(rows, SCHEMA).repartition(4), WORD_BPE, 1, limits).collect()
+    sizes = check_packing(rows, pieces, limits)
+    assert max(sizes.values()) <= limits.loss
+
+
 def test_examples_stay_whole_under_three_limits(spark):
     rng = random.Random(9)
     rows = [(i, n := rng.randint(1, 900), rng.randint(0, n)) for i in range(800)] + [(900, 5000, 10), (901, 0, 0), (902, None, None)]
