@@ -1,8 +1,9 @@
-"""Quality rules judged by an isolation forest over rule statistics.
+"""Quality rules judged by isolation forests over rule statistics.
 
 ``rule_statistics`` measures every whole text. ``fit`` grows random trees on a bounded sample of
-those statistics and calibrates the anomaly score at which a document is rejected on labelled rows.
-``judge`` applies the base rules and the forest.
+those statistics and calibrates the anomaly scores at which a document is rejected on labelled rows.
+``judge`` applies the base rules and the forests: one over what a text is made of and one over its
+repetition, since good texts that repeat lines would hide bad ones from a forest over both.
 
 Defined results: a null or empty text has no words and fails the base rules; without labelled rows
 (or with one quality only) nothing but the base rules rejects; repeated rows get equal verdicts.
@@ -36,8 +37,8 @@ SAMPLE_ROWS, TREE_ROWS, TREES = 20_000, 256, 100
 #: Share of the good labelled rows that calibration may reject at most.
 GOOD_LOST = 0.005
 SCORE_BINS = 2_000
-#: Weight of the usual ratios in the features of a text, in words.
-PRIOR_WORDS = 300
+#: Columns of the features that each forest sees: make-up, and repetition.
+FORESTS = ((0, 1, 5, 6), (2, 3, 4, 7))
 
 
 def statistics(text: str) -> tuple[int, ...]:
@@ -95,18 +96,20 @@ def rule_statistics(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def ratios(counts: np.ndarray) -> np.ndarray:
-    """Code points, symbols, capitals and marks per word, for rows of BASE and MORE."""
-    words, chars, symbols, _, _, _, upper, marks, _ = counts.astype(float).T
-    return np.column_stack([chars, symbols, upper, marks]) / np.maximum(words, 1)[:, None]
+    """All other statistics per word, for rows of BASE and MORE."""
+    return counts[:, 1:] / np.maximum(counts[:, :1], 1).astype(float)
 
 
 def features(counts: np.ndarray, usual: np.ndarray) -> np.ndarray:
-    """Ratios as if each text had PRIOR_WORDS further words of the usual ratios.
+    """Deviations from what is usual for as many words, scaled with the text's own length.
 
-    The ratios of a short text scatter widely; this keeps them from looking anomalous.
+    A count scatters with the root of the words it is taken over, so the deviation over that root
+    means the same at any length. It is squeezed between -1 and 1: a clear deviation stands out
+    beside a huge one.
     """
-    words = counts[:, :1].astype(float)
-    return (ratios(counts) * words + usual * PRIOR_WORDS) / (words + PRIOR_WORDS)
+    words = np.maximum(counts[:, :1], 1).astype(float)
+    deviation = (counts[:, 1:] - usual * words) / np.sqrt(words)
+    return deviation / (np.abs(deviation) + 1)
 
 
 @dataclass(frozen=True)
@@ -174,15 +177,17 @@ def grow(rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed:
 
 @dataclass(frozen=True)
 class Model:
-    forest: Forest
+    forests: tuple[Forest, ...]
     usual: np.ndarray
-    limit: float  # a higher anomaly score rejects
+    limits: np.ndarray  # a higher anomaly score in any forest rejects
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
-        return self.forest.score(features(counts, self.usual))
+    def scores(self, counts: np.ndarray) -> np.ndarray:
+        """One column per forest."""
+        rows = features(counts, self.usual)
+        return np.column_stack([f.score(rows[:, c]) for f, c in zip(self.forests, FORESTS, strict=True)])
 
     def rejects(self, counts: np.ndarray) -> np.ndarray:
-        return self.score(counts) > self.limit
+        return (self.scores(counts) > self.limits).any(axis=1)
 
 
 def base_failed(counts: np.ndarray) -> np.ndarray:
@@ -206,50 +211,62 @@ def sample(passing: DataFrame) -> np.ndarray:
 
 
 def fit(stats: DataFrame, labels: DataFrame, good_lost: float = GOOD_LOST) -> Model | None:
-    """Grow the forest on a bounded sample of ``stats``; place the limit by ``labels``.
+    """Grow the forests on a bounded sample of ``stats``; place their limits by ``labels``.
 
     ``stats``: statistics with ``doc_id``; read several times, so pass a stored table. ``labels``:
-    ``doc_id`` and ``quality`` (1 good, 0 bad). The limit is the lowest score bin above which at
-    most ``good_lost`` of all good labelled rows are, over the whole of ``labels``. None when no
-    row passes the base rules.
+    ``doc_id`` and ``quality`` (1 good, 0 bad). The limits are score bins above which at most
+    ``good_lost`` of all good labelled rows are, over the whole of ``labels`` and all forests together.
+    None when no row passes the base rules.
     """
     passing = stats.where("n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words")
     rows = sample(passing)
     if not len(rows):
         return None
     usual = np.median(ratios(rows), axis=0)
-    forest = grow(features(rows, usual))
-    open_model = Model(forest, usual, np.inf)
+    found = features(rows, usual)
+    open_model = Model(tuple(grow(found[:, c]) for c in FORESTS), usual, np.full(len(FORESTS), np.inf))
     marked = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
     measured = with_scores(passing.join(marked, "doc_id").select("quality", *BASE, *MORE), "quality", open_model)
-    binned = measured.groupBy("quality", F.floor(F.col("score") * SCORE_BINS).cast("int").alias("bin")).count()
-    table = np.zeros((2, SCORE_BINS + 1), np.int64)
-    for quality, place, count in binned.collect():
-        table[quality, place] = count
-    bad, good = table
-    if not good.sum() or not bad.sum():
+    binned = measured.groupBy("quality", "forest", F.floor(F.col("score") * SCORE_BINS).cast("int").alias("bin")).count()
+    table = np.zeros((2, len(FORESTS), SCORE_BINS + 2), np.int64)  # nothing reaches the last bin
+    for quality, forest, place, count in binned.collect():
+        table[quality, forest, place] = count
+    if not table[1].sum() or not table[0].sum():
         return open_model
-    above = good[::-1].cumsum()[::-1]  # good rows in this bin or a higher one
-    allowed = np.flatnonzero(above <= good_lost * good.sum())
-    limit = allowed[0] / SCORE_BINS if len(allowed) else np.inf
-    return Model(forest, usual, float(limit))
+    return Model(open_model.forests, usual, limits(*table, good_lost))
+
+
+def limits(bad: np.ndarray, good: np.ndarray, good_lost: float) -> np.ndarray:
+    """The two forests' limits that catch most bad rows, from rows by forest and score bin.
+
+    Good rows lost to both forests count twice, so at most ``good_lost`` of all are lost.
+    """
+    caught, lost = (rows[:, ::-1].cumsum(axis=1)[:, ::-1] for rows in (bad, good))  # in this bin or a higher one
+    left = good_lost * good[0].sum() - lost[0]
+    # The lowest bin of the second forest that loses no more than the first one leaves.
+    second = good.shape[1] - np.searchsorted(lost[1][::-1], left, "right")
+    possible = left >= 0
+    both = np.where(possible, caught[0] + caught[1][np.minimum(second, good.shape[1] - 1)], -1)
+    first = int(np.argmax(both))
+    return np.array([first, second[first]]) / SCORE_BINS
 
 
 def with_scores(stats: DataFrame, keep: str, model: Model) -> DataFrame:
-    """``keep`` and the anomaly ``score`` of each row of statistics."""
+    """``keep``, the number of the ``forest`` and its anomaly ``score``, for each row of statistics and forest."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                score = pa.array(model.score(matrix(batch)))
-                yield pa.record_batch({keep: batch.column(keep), "score": score})
+                for forest, score in enumerate(model.scores(matrix(batch)).T):
+                    number = pa.array(np.full(len(score), forest, np.int32))
+                    yield pa.record_batch({keep: batch.column(keep), "forest": number, "score": pa.array(score)})
 
     kind = stats.schema[keep].dataType.simpleString()
-    return stats.select(keep, *BASE, *MORE).mapInArrow(measure, f"`{keep}` {kind}, score double")
+    return stats.select(keep, *BASE, *MORE).mapInArrow(measure, f"`{keep}` {kind}, forest int, score double")
 
 
 def judge(stats: DataFrame, model: Model | None) -> DataFrame:
-    """``stats`` with ``base_failed``, the anomaly ``score`` (null without a model) and ``kept``."""
+    """``stats`` with ``base_failed``, the highest anomaly ``score`` (null without a model) and ``kept``."""
     names = stats.columns
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,11 +275,11 @@ def judge(stats: DataFrame, model: Model | None) -> DataFrame:
                 continue
             counts = matrix(batch)
             failed = base_failed(counts)
-            score = model.score(counts) if model else np.full(len(counts), np.nan)
-            kept = ~failed & ~(score > (model.limit if model else np.inf))
+            score = model.scores(counts) if model else np.full((len(counts), 1), np.nan)
+            kept = ~failed & ~(score > (model.limits if model else np.inf)).any(axis=1)
             added = {
                 "base_failed": pa.array(failed),
-                "score": pa.array(score, from_pandas=True),
+                "score": pa.array(score.max(axis=1), from_pandas=True),
                 "kept": pa.array(kept),
             }
             yield pa.record_batch({n: batch.column(n) for n in names} | added)
