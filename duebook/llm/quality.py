@@ -210,6 +210,13 @@ def sample(passing: DataFrame) -> np.ndarray:
     return np.array(sorted(map(tuple, found)), np.int64)
 
 
+def medians(passing: DataFrame) -> np.ndarray:
+    """The usual ratios: medians over all rows (some, so ``passing`` may not be empty)."""
+    names = [*BASE, *MORE][1:]
+    found = passing.agg(*(F.percentile_approx(F.col(n) / F.greatest("n_words", F.lit(1)), 0.5).alias(n) for n in names)).first()
+    return np.array([found[n] for n in names], float)
+
+
 def fit(stats: DataFrame, labels: DataFrame, good_lost: float = GOOD_LOST) -> Model | None:
     """Grow the forests on a bounded sample of ``stats``; place their limits by ``labels``.
 
@@ -222,7 +229,7 @@ def fit(stats: DataFrame, labels: DataFrame, good_lost: float = GOOD_LOST) -> Mo
     rows = sample(passing)
     if not len(rows):
         return None
-    usual = np.median(ratios(rows), axis=0)
+    usual = medians(passing)
     found = features(rows, usual)
     open_model = Model(tuple(grow(found[:, c]) for c in FORESTS), usual, np.full(len(FORESTS), np.inf))
     marked = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))

@@ -242,6 +242,17 @@ def test_forest_catches_nine_in_ten_at_the_former_bar(spark):
     assert len(rejected & bad) >= 55 and len(rejected - bad) <= 6
 
 
+def test_usual_ratios_are_medians_of_all_rows(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, " ".join("a" * rng.randint(1, 9) for _ in range(60)), "en", "a", 1) for i in range(301)]
+    stats = pinned(quality.rule_statistics(spark.createDataFrame(rows, SCHEMA), "doc_id"))
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 10)
+    counts = np.array([quality.statistics(r[1]) for r in rows])
+    failed = quality.base_failed(counts)
+    model = quality.fit(stats, spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert np.allclose(model.usual, np.median(quality.ratios(counts[~failed]), axis=0), rtol=0.02)
+
+
 def test_limits_spend_the_allowance_once():
     bad, good = np.zeros((2, 2, quality.SCORE_BINS + 2), np.int64)
     bad[0, [900, 1200]], good[0, [500, 950]] = 10, [998, 2]
