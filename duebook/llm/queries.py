@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duebook.llm import (
+    boundary_bpe,
     fingerprints,
     language_id,
     line_dedup,
@@ -126,3 +127,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_token_files(documents(spark, sf_dir), folder, str(tokenizer), end_id=0, vocabulary=50_257)
     return token_files.read_token_files(spark, folder, with_ids=False)
+
+
+@query
+def op11_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    coded = boundary_bpe.round_trip(documents(spark, sf_dir), str(tokenizer))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
