@@ -19,6 +19,7 @@ from duebook.llm import (
     packing,
     quality,
     sharding,
+    spelling,
     token_files,
 )
 from duebook.llm.rows import documents, in_fold, pinned, prepare
@@ -136,3 +137,9 @@ def op11_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variant_forms(documents(spark, sf_dir))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
