@@ -17,6 +17,7 @@ from duebook.llm import (
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     quality,
     sharding,
     spelling,
@@ -143,3 +144,8 @@ def op11_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.variant_forms(documents(spark, sf_dir))
     return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
