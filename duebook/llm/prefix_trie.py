@@ -283,7 +283,7 @@ def subtree_sums(nodes: DataFrame, values: tuple[str, ...], band: int = BAND) ->
         tops.where("depth = 0").select(*KEY, "pa", "pb", "depth")
     )
     small = small.withColumn("depth", (F.col("depth") / band).cast("int")).join(inside, [*KEY])
-    completed = subtree_sums(pinned(small), values, band)
+    completed = pinned(subtree_sums(pinned(small), values, band))
     passed = added(linked.select(*KEY, "chain").join(completed, [*KEY]), F.col("chain"))
     return totals(inside.select(*KEY, *values).unionAll(passed))
 
@@ -356,7 +356,7 @@ def prefix_trie(conversations: DataFrame, band: int = BAND) -> DataFrame:
     # Children of a node may be many; the root's need no lookup.
     parents = named(nodes.where("depth > 0"), pa="a", pb="b", parent_conv_id="conv_id")
     top = nodes.where("depth = 0").select(F.col("conv_id").alias("_top"))
-    whole = nodes.join(sums, [*KEY]).join(digests, [*KEY], "left")
+    whole = pinned(nodes.join(sums, [*KEY]).join(digests, [*KEY], "left"))
     deep = whole.where("depth > 1").join(parents, ["pa", "pb"])
     low = whole.where("depth <= 1").join(F.broadcast(top)).withColumn("parent_conv_id", F.when(F.col("depth") == 1, F.col("_top")))
     names = ["conv_id", F.col("depth").cast("bigint").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]

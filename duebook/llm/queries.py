@@ -149,3 +149,84 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: crc32 of a text, bit by bit: each byte is followed by eight marks for one shift each.
+_CRC_SQL = """xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split({text}, ''),
+      lambda c: [unicode(c), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda s, v: CASE WHEN v >= 0 THEN xor(s, v)
+      WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END), 4294967295)"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS leader, h % 6 AS h FROM (
+    SELECT conv_id, {_CRC_SQL.format(text="conv_id::VARCHAR")} AS h FROM (SELECT DISTINCT conv_id FROM turns))
+), built AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth FROM (
+    SELECT c.conv_id, 0 AS own, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.leader AND place <= h
+    UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND place > h)
+), prefixes AS (
+  SELECT conv_id, depth, length(text) AS points,
+    string_agg(sha256(role) || sha256(text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS node FROM built
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), keyed AS (
+  SELECT conv_id, depth, points, sha256(node) AS node, lag(sha256(node)) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+    depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(points) AS points, min(conv_id) AS conv_id,
+    count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM keyed GROUP BY node
+), children AS (
+  SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.node = c.node
+), under AS (
+  SELECT DISTINCT up.node AS top, down.node AS node FROM keyed up JOIN keyed down ON up.conv_id = down.conv_id AND up.depth <= down.depth
+), sums AS (
+  SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * points)::BIGINT AS saved_tokens
+  FROM under JOIN valued ON under.node = valued.node GROUP BY top
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM valued v JOIN sums ON sums.top = v.node LEFT JOIN valued p ON p.node = v.parent
+"""
+
+ORACLES["op12_spelling_variants"] = f"""
+WITH runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), counted AS (
+  SELECT run, length(run) AS size, doc_id, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), bytes AS (
+  SELECT *, doc_id::VARCHAR || ':' || array_to_string(list_transform(string_split(run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN c ELSE chr(192 + unicode(c) // 64 % 4) || chr(128 + unicode(c) % 64) END), '') AS raw
+  FROM counted
+), hashed AS (
+  SELECT run, size, n, {_CRC_SQL.format(text="raw")} AS h FROM bytes
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % size)::INT) || substr(run, (h % size)::INT + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), holes AS (
+  SELECT word, n, left(word, i) || '?' || substr(word, i + 2) AS hole, left(word, i) || substr(word, i + 2) AS shorter
+  FROM (SELECT word, n, unnest(range(length(word)))::INT AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.shorter
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.shorter
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS form_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, min(p.other) AS form, min(p.n) AS form_n
+  FROM words w LEFT JOIN best b ON b.word = w.word
+  LEFT JOIN pairs p ON p.word = w.word AND p.n = b.form_n AND p.n >= 10 * w.n GROUP BY ALL
+), chains AS (
+  WITH RECURSIVE steps AS (
+    SELECT word, word AS root, form AS next FROM forms
+    UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next
+  ) SELECT word, root FROM steps WHERE next IS NULL
+)
+SELECT f.word, n, n_near, form, form_n, root FROM forms f JOIN chains c ON c.word = f.word
+"""
