@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from duebook.session import path_exists
+from duebook.sources.headers import cells_by_header, column_places, csv_lines, first_lines
 
 RESCUED = "_rescued_data"
 WHOLE_LINE = "_line"
@@ -110,9 +111,28 @@ def json_rows(df: DataFrame, schema: StructType) -> DataFrame:
     return named.select(*fit_types(raw, spare), *extra)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """Batch read of CSV files with a header, typed and with rescue and delivery columns."""
-    return csv_rows(with_delivery_columns(_csv(spark.read, schema).csv(path)), schema)
+def read_csv(
+    spark: SparkSession, path: str | list[str], schema: StructType, strict: bool = False
+) -> DataFrame:
+    """Batch read of CSV files with a header, typed and with rescue and delivery columns.
+
+    Every file is read by its own header: columns may be reordered, a missing one is null, and
+    values of an unexpected one go to the rescue column. ``strict``: another header stops the read.
+    """
+    if strict:
+        return csv_rows(with_delivery_columns(_csv(spark.read, schema).csv(path)), schema)
+    lines = csv_lines(spark.read, path)
+    return rows_by_header(lines, first_lines(lines), schema)
+
+
+def rows_by_header(lines: DataFrame, headers: DataFrame, schema: StructType) -> DataFrame:
+    """Type the lines of CSV files whose ``headers`` are known. Grain: one row per data line."""
+    places = column_places(headers, schema)
+    rows, raw, spare = cells_by_header(lines, places, schema, WHOLE_LINE)
+    columns = fit_types([*zip(schema.fields, raw, strict=True)], spare)
+    return rows.select(
+        *columns, F.current_timestamp().alias("_ingested_at"), F.col("_path").alias("_source_file")
+    )
 
 
 def read_json(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
@@ -121,13 +141,29 @@ def read_json(spark: SparkSession, path: str | list[str], schema: StructType) ->
 
 
 def stream_csv(
-    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    schema: StructType,
+    files_per_batch: int | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """The same as a stream over a folder: every file is read once."""
+    """The same as a stream over a folder: every file is read once.
+
+    ``headers`` holds the first line of each file (see ``ingest_csv``); without it all files must
+    have the columns of ``schema`` in order.
+    """
+    if headers is not None:
+        lines = csv_lines(_paced(spark.readStream, files_per_batch), folder)
+        return rows_by_header(lines, headers, schema)
     reader = _csv(_paced(spark.readStream, files_per_batch), schema)
     return csv_rows(with_delivery_columns(reader.csv(folder)), schema)
 
 
+def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the text files of a folder as a stream, with the file they are from."""
+    return csv_lines(spark.readStream, folder)
+
+
 def stream_json(
     spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:

@@ -80,6 +80,38 @@ def rescue_columns(spark, sf):
     return f.read_csv(spark, folder, f.hinted_schema(spark, folder, _HINTS))
 
 
+_CHANGED_SQL = """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+         o_totalprice, o_orderstatus,
+         CASE WHEN o_orderstatus = 'F' THEN '{"o_orderpriority":"' || o_orderpriority || '"}' END AS _rescued_data,
+         kind FROM orders, (SELECT unnest(['batch', 'stream']) AS kind)"""
+
+
+@query(
+    "rescue_changed_header",
+    Columns(ints="o_orderkey o_custkey", nums="o_totalprice", texts="o_orderstatus _rescued_data kind"),
+    _CHANGED_SQL,
+)
+def rescue_changed_header(spark, sf):
+    """Files with reordered, additional and missing columns, read at once and as a stream."""
+    folder = scratch_folder(spark, "headers")
+    orders = _orders(spark, sf)
+    headers = {
+        "O": ["o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey"],
+        "F": ["o_orderkey", "o_orderpriority", "o_custkey", "o_orderstatus", "o_totalprice"],
+        "P": ["o_orderstatus", "o_orderkey", "o_totalprice"],
+    }
+    schema = StructType.fromDDL(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE"
+    )
+    landing, raw, state = (f"{folder}/{n}" for n in ("landing", "raw", "state"))
+    for status, columns in headers.items():
+        part = orders.where(F.col("o_orderstatus") == status).select(columns)
+        part.write.option("header", True).mode("append").csv(landing)
+        ingest_csv(spark, landing, raw, state, schema)
+    batch = f.read_csv(spark, landing, schema).withColumn("kind", F.lit("batch"))
+    return batch.unionByName(spark.read.parquet(raw).withColumn("kind", F.lit("stream")))
+
+
 @query(
     "rescue_json_fields",
     Columns(ints="event_id user_id", nums="value", texts="event_type _rescued_data"),

@@ -47,10 +47,62 @@ def test_csv_rescue(spark, folder):
     assert df.where("_ingested_at IS NULL OR _source_file IS NULL").count() == 0
 
 
-def test_csv_with_another_header_is_refused(spark, folder):
+def test_csv_with_another_header_is_refused_where_asked(spark, folder):
     lines(spark, folder, "a", "STATUS,ID,AMT", "C,1,2.5")
     with pytest.raises(Exception, match="(?i)header"):
-        f.read_csv(spark, f"{folder}/a", SCHEMA).collect()
+        f.read_csv(spark, f"{folder}/a", SCHEMA, strict=True).collect()
+
+
+CHANGED = {
+    "a": ["ID,STATUS,AMT", "1,C,2.5", "x,X,1", "", "2,0"],
+    "b": ["amt,Id,NEW,STATUS", '3.5,3,"n, 3",C', "4.5,4,,D", "5,5,n5,E,more"],
+    "c": ["STATUS", "only"],
+    "d": ["ID,NEW,NEW,STATUS,AMT,ID", "6,p,q,F,6.5,77", "ID,NEW,NEW,STATUS,AMT,ID"],
+    "e": ["ID,AMT"],
+    "f": [],
+}
+EXPECTED = [
+    (1, "C", 2.5, None),
+    (None, "X", 1.0, '{"ID":"x"}'),
+    (2, "0", None, '{"_line":"2,0"}'),
+    (3, "C", 3.5, '{"NEW":"n, 3"}'),
+    (4, "D", 4.5, None),
+    (5, "E", 5.0, '{"NEW":"n5","_line":"5,5,n5,E,more"}'),
+    (None, "only", None, None),
+    (6, "F", 6.5, '{"NEW":"p","NEW#3":"q","ID#6":"77"}'),
+]
+
+
+def test_csv_with_changed_headers(spark, folder):
+    """Reordered, additional, missing and repeated columns; a header without rows, an empty file."""
+    for name, text in CHANGED.items():
+        lines(spark, folder, f"in/{name}", *text)
+    columns = ("ID", "STATUS", "AMT", "_rescued_data")
+    same(f.read_csv(spark, f"{folder}/in", SCHEMA).select(*columns), EXPECTED)
+    assert ingest_csv(spark, f"{folder}/in/*", f"{folder}/raw", f"{folder}/state", SCHEMA, files_per_batch=2) == len(EXPECTED)
+    same(spark.read.parquet(f"{folder}/raw").select(*columns), EXPECTED)
+    lines(spark, folder, "in/g", "AMT,ID", "9.5,9")
+    assert ingest_csv(spark, f"{folder}/in/*", f"{folder}/raw", f"{folder}/state", SCHEMA) == 1
+    same(spark.read.parquet(f"{folder}/raw").select(*columns), [*EXPECTED, (9, None, 9.5, None)])
+
+
+def test_a_file_that_lands_between_the_two_streams(spark, folder, monkeypatch):
+    from duebook.streaming import ingest
+
+    lines(spark, folder, "in/a", "ID,STATUS,AMT", "1,C,2.5")
+    plain, calls = ingest.keep_headers, []
+
+    def keep(*args):
+        out = plain(*args)
+        if not calls:
+            lines(spark, folder, "in/b", "AMT,ID", "3.5,3")
+        calls.append(1)
+        return out
+
+    monkeypatch.setattr(ingest, "keep_headers", keep)
+    assert ingest_csv(spark, f"{folder}/in/*", f"{folder}/raw", f"{folder}/state", SCHEMA) == 2
+    assert len(calls) == 2
+    same(spark.read.parquet(f"{folder}/raw").select("ID", "STATUS", "AMT"), [(1, "C", 2.5), (3, None, 3.5)])
 
 
 def test_json_rescue(spark, folder):
