@@ -184,20 +184,47 @@ def with_latest(
     return out.drop("_marker", "_part", "_end")
 
 
+# Copies of one row that are written out at once, in one task.
+COPIES = 10_000
+
+
+def _each_copy(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` with two hashes of the whole row and a number ``_copy`` among equal rows.
+
+    The numbers do not depend on how rows were spread. Rows are counted first, with a combine in
+    each task; of a row with very many copies, lots of copies are written out by different tasks.
+    """
+    names = df.columns
+    counted = df.groupBy(*names).agg(F.count("*").alias("_copies"))
+    hashed = counted.withColumns({"_h1": F.xxhash64(*names), "_h2": F.xxhash64(F.lit(1), *names)})
+    few = hashed.where(F.col("_copies") <= COPIES)
+    few = few.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+    lots = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / COPIES))
+    many = hashed.where(F.col("_copies") > COPIES).withColumn("_lot", F.explode(lots))
+    last = F.least((F.col("_lot") + 1) * COPIES, F.col("_copies"))
+    many = many.repartition("_h1", "_lot").withColumn(
+        "_copy", F.explode(F.sequence(F.col("_lot") * COPIES + 1, last))
+    )
+    return few.unionByName(many.drop("_lot")).drop("_copies")
+
+
 def numbered(df: DataFrame, order: Sequence[Column], name: str = "_position") -> DataFrame:
     """Number all rows 0, 1, 2, ... in a global order without a global window.
 
     Rows are range-partitioned by ``order``, numbered inside the partitions, and shifted by the
-    sizes of the earlier partitions (one number per partition goes through the driver). Equal
-    rows are spread over partitions as well, so many copies of one row do not meet in one task.
+    sizes of the earlier partitions (one number per partition goes through the driver). Ties are
+    ordered by hashes of the whole row and equal rows by their number among each other: the
+    result is the same however rows were spread, also when a lost task is repeated, and many
+    copies of one row do not meet in one task. Columns must be ones that can be grouped by.
     """
     local_bits = 33  # low bits of monotonically_increasing_id count rows within a partition
-    spread = df.withColumn("_spread", F.monotonically_increasing_id())
+    ties = ("_h1", "_h2", "_copy")
     ranged = (
-        spread.repartitionByRange(*order, F.col("_spread"))
-        .sortWithinPartitions(*order, F.col("_spread"))
+        _each_copy(df)
+        .repartitionByRange(*order, *ties)
+        .sortWithinPartitions(*order, *ties)
         .withColumn("_slot", F.monotonically_increasing_id())
-        .drop("_spread")
+        .drop(*ties)
     )
     # Written once: every use below has to see the same partition of a row.
     pinned = settle_down(ranged, "numbered").withColumns(

@@ -85,6 +85,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(conf).exists(target)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if there is no such path."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote and nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settle_down(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

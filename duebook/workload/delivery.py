@@ -6,7 +6,9 @@ Each query first writes whole test tables as the files it then ingests, below th
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from duebook.fixed_values import BLANK_TOKENS, Rule
 from duebook.operators import checks, replay
+from duebook.operators.columns import blank_to_null, lower_names, retype, stack_by_name
 from duebook.operators.delinquency import settle_installments
 from duebook.session import scratch_folder
 from duebook.sources import files as f
@@ -268,24 +270,82 @@ def rows_per_file_query(spark, sf):
     return per_file.agg(F.sum("rows").alias("rows"))
 
 
-@query("scd2_stream", VERSION, "SELECT * FROM versions", "versions")
-def scd2_stream(spark, sf):
-    """The version history kept from a stream whose deliveries arrive out of order."""
-    folder = scratch_folder(spark, "changes")
-    deliveries = a.deliveries(spark, sf)
-    kept = VersionedStream(
+def _version_stream(spark, folder, **more):
+    return VersionedStream(
         spark,
-        f"{folder}/history",
+        folder,
         ["sk_id_curr"],
         "delivered_on",
         a.DELIVERY_UNTRACKED,
         newest_first=[F.desc("delivery")],
         buckets=8,
+        **more,
     )
-    late = F.dayofmonth("delivered_on") > 20
-    for part in (~late, late):
-        deliveries.where(part).write.mode("append").parquet(f"{folder}/in")
+
+
+@query("scd2_stream", VERSION, "SELECT * FROM versions", "versions")
+def scd2_stream(spark, sf):
+    """The version history kept from a stream in five batches, each with deliveries that come late."""
+    folder = scratch_folder(spark, "changes")
+    deliveries = a.deliveries(spark, sf)
+    kept = _version_stream(spark, f"{folder}/history")
+    turn = F.pmod(F.floor(F.col("delivery") / 32) + F.floor(F.dayofyear("delivered_on") / 120), F.lit(5))
+    for number in range(5):
+        deliveries.where(turn == number).write.mode("append").parquet(f"{folder}/in")
         kept.run(spark.readStream.schema(deliveries.schema).parquet(f"{folder}/in"))
+        if number == 2:
+            kept.compact()
+    return named(kept.versions())
+
+
+@query(
+    "scd2_stream_rules",
+    VERSION,
+    """SELECT *, latest.p AS price, latest.k AS delivery FROM (
+       SELECT sk_id_curr, status, arg_max({'p': price, 'k': delivery}, delivered_on) AS latest,
+         min(delivered_on) AS valid_from, lead(min(delivered_on)) OVER (PARTITION BY sk_id_curr ORDER BY min(delivered_on)) AS valid_to
+       FROM (SELECT *, sum(opens) OVER (PARTITION BY sk_id_curr ORDER BY delivered_on) AS change
+             FROM (SELECT *, CASE WHEN lag(status) OVER w IS NOT DISTINCT FROM status
+                                   AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS opens
+                   FROM (SELECT * FROM (
+                     SELECT o_custkey AS sk_id_curr, CAST(o_orderdate AS DATE) AS delivered_on,
+                       CASE WHEN o_orderkey % 13 <> 0 THEN o_orderstatus END AS status,
+                       CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS price,
+                       o_orderkey AS delivery FROM orders
+                     WHERE o_orderstatus <> 'O' OR o_totalprice < 200000)
+                   QUALIFY row_number() OVER (PARTITION BY sk_id_curr, delivered_on ORDER BY delivery DESC) = 1)
+                   WINDOW w AS (PARTITION BY sk_id_curr ORDER BY delivered_on)))
+       GROUP BY sk_id_curr, change, status)""",
+)
+def scd2_stream_rules(spark, sf):
+    """Two streams with different columns, cleaned row by row, united, screened, and kept as history."""
+    folder = scratch_folder(spark, "changes")
+    raw = a.deliveries(spark, sf).select(
+        F.col("sk_id_curr").cast("string").alias("SK_ID_CURR"),
+        F.col("delivered_on").cast("string").alias("DELIVERED_ON"),
+        F.when(F.col("delivery") % 13 == 0, BLANK_TOKENS[0]).otherwise(F.col("status")).alias("STATUS"),
+        F.col("price").alias("PRICE"),
+        F.col("delivery").alias("DELIVERY"),
+    )
+    is_open = F.col("OPEN") == 1
+    marked = raw.join(
+        a.table(spark, sf, "orders").select(F.col("o_orderkey").alias("DELIVERY"), (F.col("o_orderstatus") == "O").cast("int").alias("OPEN")),
+        "DELIVERY",
+    )
+    feeds = {"with_price": marked.where(is_open).drop("OPEN"), "without": marked.where(~is_open).drop("OPEN", "PRICE")}
+    rules = [
+        Rule("sk_id_curr_not_null", "fail", "sk_id_curr IS NOT NULL"),
+        Rule("price_in_range", "drop", "price IS NULL OR price < 200000"),
+    ]
+    kept = _version_stream(spark, f"{folder}/history", rules=rules)
+    types = {"bigint": ["sk_id_curr", "delivery"], "date": ["delivered_on"]}
+    for late in (False, True):
+        streams = []
+        for name, feed in feeds.items():
+            part = feed.where((F.dayofmonth("DELIVERED_ON") > 20) == late)
+            part.write.mode("append").parquet(f"{folder}/{name}")
+            streams.append(spark.readStream.schema(feed.schema).parquet(f"{folder}/{name}"))
+        kept.run(retype(blank_to_null(lower_names(stack_by_name(streams)), BLANK_TOKENS), types))
     return named(kept.versions())
 
 

@@ -64,3 +64,19 @@ def test_numbering_is_a_total_order(spark):
     out = numbered(df, [F.asc("a"), F.asc("b")]).orderBy("_position").collect()
     assert [r._position for r in out] == list(range(1000))
     assert [r.a for r in out] == sorted(a for a, _ in data)
+
+
+def test_numbers_do_not_depend_on_how_rows_are_spread(spark, monkeypatch):
+    """Ties and very many copies of a row, in lots of 50."""
+    from duebook.operators import in_order
+
+    monkeypatch.setattr(in_order, "COPIES", 50)
+    data = [(i % 7, f"x{i % 11}", float(i % 3)) for i in range(300)] + [(3, "copy", None)] * 730
+    df = spark.createDataFrame(data, "a INT, b STRING, c DOUBLE")
+    found = []
+    for parts in (1, 3, 8):
+        out = numbered(df.repartition(parts), [F.desc("a")]).collect()
+        assert sorted(r._position for r in out) == list(range(len(data)))
+        found.append(sorted((r._position, r.a, r.b, str(r.c)) for r in out))
+    assert found[0] == found[1] == found[2]
+    assert [r[1] for r in found[0]] == sorted((a for a, _, _ in data), reverse=True)
