@@ -39,40 +39,62 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded[: len(values)] = values
     table[:, :BLOCK] = padded.reshape(blocks, BLOCK)
     needs = needed_selector(table.ravel()).reshape(table.shape)
-    # For each place and selector: do all values of a word that begins here fit?
-    best = np.full((blocks, BLOCK), ESCAPE, np.uint8)
-    for selector in range(len(COUNTS) - 1, -1, -1):
-        fits = needs <= selector
-        run = int(COUNTS[selector])
-        running = np.concatenate([np.zeros((blocks, 1), np.int32), np.cumsum(fits, axis=1, dtype=np.int32)], axis=1)
-        whole = running[:, run : run + BLOCK] - running[:, :BLOCK] == run
-        best[whole[:, :BLOCK]] = selector
+    best = best_selectors(needs)[:, :BLOCK]
+    # Where the words of each block begin: all blocks step forward at once.
+    steps = np.append(COUNTS, [0, 1])[best].astype(np.int16)
     place = np.zeros(blocks, np.int64)
-    every = np.arange(blocks)
-    words = np.zeros((blocks, 2 * BLOCK), np.uint64)
-    filled = np.zeros(blocks, np.int64)
-    while True:
-        open_ = every[place < lengths]
-        if not len(open_):
-            break
-        at = place[open_]
-        selector = best[open_, at]
-        for kind in np.unique(selector):
-            own, start = open_[selector == kind], at[selector == kind]
-            if kind == ESCAPE:
-                words[own, filled[own]] = np.uint64(ESCAPE << 60)
-                words[own, filled[own] + 1] = table[own, start]
-                filled[own] += 2
-                place[own] += 1
-                continue
-            word = np.full(len(own), int(kind) << 60, np.uint64)
-            for i in range(int(COUNTS[kind])):
-                word |= table[own, start + i] << np.uint64(i * int(BITS[kind]))
-            words[own, filled[own]] = word
-            filled[own] += 1
-            place[own] += COUNTS[kind]
-    used = np.arange(words.shape[1]) < filled[:, None]
-    return words[used], np.concatenate([[0], np.cumsum(filled)])
+    open_ = np.arange(blocks)
+    rows, starts = [], []
+    while len(open_):
+        rows.append(open_)
+        starts.append(place[open_])
+        place[open_] += steps[open_, place[open_]]
+        open_ = open_[place[open_] < lengths[open_]]
+    row, start = np.concatenate(rows), np.concatenate(starts)
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    selector = best[row, start]
+    # An escape takes two words.
+    size = np.where(selector == ESCAPE, 2, 1)
+    after = np.cumsum(size)
+    at = after - size
+    words = np.zeros(int(after[-1]), np.uint64)
+    flat, first = table.ravel(), row * width + start
+    for kind in range(len(COUNTS)):
+        own = np.flatnonzero(selector == kind)
+        word = np.full(len(own), kind << 60, np.uint64)
+        for i in range(int(COUNTS[kind])):
+            word |= flat[first[own] + i] << np.uint64(i * int(BITS[kind]))
+        words[at[own]] = word
+    own = np.flatnonzero(selector == ESCAPE)
+    words[at[own]] = np.uint64(ESCAPE << 60)
+    words[at[own] + 1] = flat[first[own]]
+    last = np.append(np.flatnonzero(np.diff(row)), len(row) - 1)
+    return words, np.append(0, after[last])
+
+
+def best_selectors(needs: np.ndarray) -> np.ndarray:
+    """For each place the selector of most values such that all values of a word there fit.
+
+    ``needs`` holds a row per block. The most that any of the next n values needs comes from two
+    such maxima over fewer values; the last columns see fewer values and are not meant to be used.
+    """
+    most = {1: needs}
+
+    def over(n: int) -> np.ndarray:
+        if n not in most:
+            half = n // 2 if n % 2 == 0 else (n + 1) // 2  # two overlapping halves
+            part = over(half)
+            out = part.copy()
+            shift = n - half
+            np.maximum(part[:, :-shift], part[:, shift:], out=out[:, :-shift])
+            most[n] = out
+        return most[n]
+
+    best = np.full(needs.shape, ESCAPE, np.uint8)
+    for selector in range(len(COUNTS) - 1, -1, -1):
+        np.copyto(best, np.uint8(selector), where=over(int(COUNTS[selector])) <= selector)
+    return best
 
 
 def decode(words: np.ndarray, starts: np.ndarray, total: int) -> np.ndarray:

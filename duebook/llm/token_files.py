@@ -1,10 +1,11 @@
 """Token ids in files of Simple-8b words, in document order, and the way back.
 
 A file set is a folder with two Parquet tables. ``ranks`` holds one row: the tokenizer's ids ordered by
-frequency in a bounded sample, so that frequent ids get small numbers. ``chunks`` holds one row per
+frequency in all documents, so that frequent ids get small numbers. ``chunks`` holds one row per
 run of whole documents: which part it belongs to and its number there, the ids before it in the
 part, the documents' ids and token counts, the words, and the word where each block begins. Parts
-are ranges of the documents' order; a part is written by one task as a stream.
+are ranges of the documents' order; a part is written by one task as a stream. Texts are encoded once;
+their ids, of two bytes where the vocabulary allows, are what is counted, shuffled and packed.
 
 Defined results: a null or empty text is the end token alone; rows without id come first; rows with
 equal ids are ordered by a hash of the text; repeated rows are written once each.
@@ -17,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +27,10 @@ from duebook.llm import simple8b
 from duebook.llm.batches import slices, texts_of
 from duebook.llm.rows import identified
 from duebook.llm.tokens import encoder
+from duebook.session import settle_down
 
-#: Documents the frequency ranks are taken from at most.
-SAMPLE_DOCUMENTS = 1_000
+#: Bytes of ids that make a chunk.
+CHUNK_BYTES = 2 << 20
 
 CHUNKS_DDL = (
     "part int, chunk int, before bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
@@ -35,21 +38,45 @@ CHUNKS_DDL = (
 )
 
 
-def frequency_order(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> np.ndarray:
-    """Ids by falling frequency in a sample of at most SAMPLE_DOCUMENTS, then the rest."""
+def id_type(vocabulary: int) -> np.dtype:
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
+def id_rows(docs: DataFrame, tokenizer: str, kind: np.dtype) -> DataFrame:
+    """``doc_id``, ``text_key`` and the text's ids in a row, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, size=4 << 20):
+            ids, starts = encoder(tokenizer).encode(texts_of(batch))
+            places = pa.py_buffer((starts * kind.itemsize).astype(np.int32))
+            raw = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, places, pa.py_buffer(ids.astype(kind))])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), raw], ["doc_id", "text_key", "ids"])
+
+    coded = identified(docs).mapInArrow(run, "doc_id bigint, text_key bigint, ids binary")
+    return settle_down(coded, "token-ids")
+
+
+def ids_of(batch: pa.RecordBatch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch in a row, and where each row's begin."""
+    lengths = pc.binary_length(batch.column("ids")).to_numpy().astype(np.int64)
+    flat = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("ids")), b"")
+    ids = np.frombuffer(flat[0].as_buffer(), kind)
+    return ids, np.append(0, np.cumsum(lengths // kind.itemsize))
+
+
+def frequency_order(coded: DataFrame, end_id: int, vocabulary: int) -> np.ndarray:
+    """Ids by falling frequency in all documents; the vocabulary bounds what reaches the driver."""
+    kind = id_type(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
-        for batch in slices(batches):
-            ids, _ = encoder(tokenizer).encode(texts_of(batch))
-            total += np.bincount(ids, minlength=vocabulary)
+        for batch in batches:
+            if batch.num_rows:
+                total += np.bincount(ids_of(batch, kind)[0], minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.record_batch({"id": pa.array(seen), "n": pa.array(total[seen])})
 
-    # Chosen by id alone, so the scan reads no texts; the chosen rows are joined back.
-    chosen = docs.select("doc_id").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
-    counted = sample.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = coded.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     counts = np.zeros(vocabulary, np.int64)
     for row in counted.collect():
         counts[row.id] = row.n
@@ -60,7 +87,9 @@ def frequency_order(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: in
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, vocabulary: int) -> None:
     """Encode every text, append ``end_id``, and write the file set below ``folder``."""
     spark = docs.sparkSession
-    order = frequency_order(docs, tokenizer, end_id, vocabulary)
+    kind = id_type(vocabulary)
+    coded = id_rows(docs, tokenizer, kind)
+    order = frequency_order(coded, end_id, vocabulary)
     table = spark.createDataFrame([(order.tolist(),)], "ids array<int>")
     table.write.parquet(f"{folder}/ranks")
     rank = np.empty(vocabulary, np.uint64)
@@ -68,8 +97,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, number = TaskContext.get().partitionId(), 0, 0
-        for batch in slices(batches):
-            ids, starts = encoder(tokenizer).encode(texts_of(batch))
+        for batch in slices(batches, "ids", CHUNK_BYTES):
+            ids, starts = ids_of(batch, kind)
             # One end token behind each document.
             ends = starts[1:] + np.arange(len(starts) - 1)
             values = np.empty(len(ids) + len(ends), np.uint64)
@@ -93,8 +122,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
             number += 1
 
     place = [F.col("doc_id").asc_nulls_first(), F.col("text_key").asc()]
-    ordered = identified(docs).repartitionByRange(*place).sortWithinPartitions(*place)
-    written = ordered.select("doc_id", "text").mapInArrow(write, CHUNKS_DDL)
+    ordered = coded.repartitionByRange(*place).sortWithinPartitions(*place)
+    written = ordered.select("doc_id", "ids").mapInArrow(write, CHUNKS_DDL)
     written.write.option("compression", "zstd").parquet(f"{folder}/chunks")
 
 
