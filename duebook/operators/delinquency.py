@@ -99,7 +99,7 @@ def settle_installments(payments: DataFrame, cols: PaymentColumns = PaymentColum
         F.ifnull(F.col("amt_paid") >= F.col(cols.due_amount), F.lit(False)).alias(
             "is_paid_in_full"
         ),
-        # Null stays null: greatest() alone would turn an unsettled installment into 0 days.
+        # Paid before it was due counts as no delay; what is not settled has no days at all.
         F.when(late < 0, 0).otherwise(late).alias("dpd_at_settlement"),
         cols.known,
     )
