@@ -8,17 +8,24 @@ holds a large share of all rows is cut into several files instead of filling one
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 _SPREAD = "_spread"
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row (maps left out): the same wherever and however often it is computed."""
+    return F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, MapType)))
+
+
 def _ranged(df: DataFrame, files: int, keys: Sequence[str]) -> DataFrame:
     return (
-        df.withColumn(_SPREAD, F.monotonically_increasing_id())
+        df.withColumn(_SPREAD, _row_hash(df))
         .repartitionByRange(files, *keys, _SPREAD)
         .sortWithinPartitions(*keys)
         .drop(_SPREAD)
@@ -26,8 +33,18 @@ def _ranged(df: DataFrame, files: int, keys: Sequence[str]) -> DataFrame:
 
 
 def write_scattered(df: DataFrame, folder: str, files: int, key: str) -> None:
-    """No layout: rows spread by the hash of ``key``."""
-    df.repartition(files, key).write.parquet(folder)
+    """No layout: rows spread by the hash of ``key``.
+
+    A key with more rows than a file should hold is spread over all files by the hash of its
+    rows. There are fewer such keys than files, so their list is small enough to broadcast.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
+    rows = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.where(F.col("_n") > max(1, rows // files)).select(F.col(key).alias("_k"))
+    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), F.col(key).eqNullSafe(F.col("_k")), "left")
+    place = F.when(F.col("_hot"), _row_hash(df)).otherwise(F.xxhash64(key))
+    number = F.pmod(place, F.lit(files)).cast("int")
+    marked.repartitionById(files, number).drop("_k", "_hot").write.parquet(folder)
 
 
 def write_clustered(df: DataFrame, folder: str, files: int, keys: Sequence[str]) -> None:
@@ -104,6 +121,37 @@ def file_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def file_spans(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and the least and greatest value of some columns in each file of a file table.
+
+    Grain: one row per file: ``file``, ``rows``, ``low_<column>``, ``high_<column>``. One pass with a
+    combine in each task; what readers know of a file before they open it.
+    """
+    file = F.col("_metadata.file_path").alias("file")
+    spans = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]
+    return df.groupBy(file).agg(F.count("*").alias("rows"), *spans)
+
+
+def skipping(spans: DataFrame, **wanted: tuple[str, object, object]) -> DataFrame:
+    """What range filters read of a file table with the given ``file_spans``.
+
+    Grain: one row per filter: ``filter``, ``files_read``, ``files_pruned``, ``rows_read``.
+    ``wanted`` maps a filter's name to a column and its least and greatest wanted value.
+    """
+    one = []
+    for name, (column, low, high) in wanted.items():
+        meets = (F.col(f"high_{column}") >= F.lit(low)) & (F.col(f"low_{column}") <= F.lit(high))
+        one.append(
+            spans.agg(
+                F.lit(name).alias("filter"),
+                F.count_if(meets).alias("files_read"),
+                F.count_if(~F.ifnull(meets, F.lit(False))).alias("files_pruned"),
+                F.ifnull(F.sum(F.when(meets, F.col("rows"))), F.lit(0)).alias("rows_read"),
+            )
+        )
+    return reduce(DataFrame.unionByName, one)
+
+
 def files_with_rows(df: DataFrame, **filters: Column) -> DataFrame:
     """How many files of a file table hold rows of each filter. Grain: one row."""
     # A group per file first, so the second aggregate sees files and not rows.

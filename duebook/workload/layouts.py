@@ -39,24 +39,48 @@ _layout_query("layout_partitioned", lambda df, to: layout.write_partitioned(df,
 _layout_query("layout_zorder", lambda df, to: layout.write_zordered(df, to, FILES, KEYS))
 
 
-@query("layout_stats")
+@query(
+    "layout_stats",
+    Columns(ints="rows", flags="skips_clients skips_months few_files", texts="layout"),
+    """SELECT layout, n AS rows, layout IN ('clustered', 'zordered') AS skips_clients,
+         layout IN ('partitioned', 'zordered') AS skips_months, true AS few_files
+       FROM (SELECT count(*) AS n FROM balances),
+         (SELECT unnest(['scattered', 'clustered', 'partitioned', 'zordered']) AS layout)""",
+    "balances",
+)
 def layout_stats(spark, sf):
-    """Files and bytes of each copy, and the files that hold rows of the two selective queries."""
+    """Of each copy: its rows, whether the two selective queries skip a quarter of its files or more,
+    and whether it has no more files than asked.
+
+    What is compared are facts that follow from the layouts; the figures themselves (files, bytes,
+    files read and pruned) are those of ``layout_figures``.
+    """
+    figures = layout_figures(spark, sf)
+    per_copy = figures.groupBy("layout").agg(
+        F.max("rows").alias("rows"),
+        F.bool_or((F.col("filter") == "client") & (F.col("files_read") * 4 <= F.col("files") * 3)).alias("skips_clients"),
+        F.bool_or((F.col("filter") == "range") & (F.col("files_read") * 4 <= F.col("files") * 3)).alias("skips_months"),
+        # A copy by month has a folder per month and the hot months' files in several tasks.
+        F.bool_and((F.col("files") <= FILES) | (F.col("layout") == "partitioned")).alias("few_files"),
+    )
+    return per_copy
+
+
+def layout_figures(spark, sf):
+    """Files and bytes of each copy, and what the two selective queries read of it.
+
+    Grain: one row per copy and query.
+    """
     folder = scratch_folder(spark, "layouts")
     stats = write_layouts(balances(spark, sf), folder, FILES)
-    client = measures.middle_key(a.table(spark, sf, "customer"), "c_custkey").scalar()
-    filters = {
-        "client": F.col("sk_id_curr") == client,
-        "range": F.col("month").between(F.lit(RANGE[0]), F.lit(RANGE[1])),
-    }
-    hits = stack_labelled(
-        {
-            name: layout.files_with_rows(spark.read.parquet(f"{folder}/{name}"), **filters)
-            for name in LAYOUTS
-        },
-        "layout",
-    )
-    return stats.join(hits, "layout")
+    client = measures.middle_key(a.table(spark, sf, "customer"), "c_custkey").first()[0]
+    wanted = {"client": ("sk_id_curr", client, client), "range": ("month", *RANGE)}
+    found = {}
+    for name in LAYOUTS:
+        spans = layout.file_spans(spark.read.parquet(f"{folder}/{name}"), KEYS)
+        rows = spans.agg(F.sum("rows").alias("rows"))
+        found[name] = layout.skipping(spans, **wanted).crossJoin(F.broadcast(rows))
+    return stats.join(stack_labelled(found, "layout"), "layout")
 
 
 def client_dimension(spark, sf):

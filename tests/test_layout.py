@@ -132,3 +132,19 @@ def test_checks_find_broken_tables(spark, table):
     b = spark.createDataFrame([(1, None), (3, "y")], "i INT, s STRING")
     same(checks.multiset_difference(a, b), [(3, 1)])
     assert checks.tables_with_column({"a": a, "source": source}, "s") == {"a": True, "source": False}
+
+
+def test_a_hot_key_of_the_scattered_copy_is_spread(spark, folder):
+    """Half of all rows on one key, which may be null."""
+    for number, hot in enumerate((5, None)):
+        key = F.when(F.col("id") % 2 == 0, F.lit(hot).cast("bigint")).otherwise(F.col("id"))
+        df = spark.range(20_000).select("id", key.alias("k"))
+        layout.write_scattered(df, f"{folder}/{number}", 8, "k")
+        sizes = sorted(r.rows for r in layout.file_spans(spark.read.parquet(f"{folder}/{number}"), ["k"]).collect())
+        assert sum(sizes) == 20_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2], sizes
+
+
+def test_skipping_by_spans(spark):
+    spans = spark.createDataFrame([("a", 3, 1, 5), ("b", 4, 6, 9), ("c", 2, None, None)], "file STRING, rows INT, low_k INT, high_k INT")
+    same(layout.skipping(spans, one=("k", 5, 5), wide=("k", 0, 7), none=("k", 10, 11)), [("one", 1, 2, 3), ("wide", 2, 1, 7), ("none", 0, 3, 0)],
+         "filter", "files_read", "files_pruned", "rows_read")
