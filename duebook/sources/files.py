@@ -202,21 +202,20 @@ def landing_problems(
 
     Grain: one row per delivery found or expected: ``file``, ``missing_columns`` of its headers,
     ``data_rows``, ``problem`` (null when it is fine). Headers are the first line of the first
-    block of a file; one line and a count per file is all that leaves a task. A delivery is one
+    block of a file. A delivery is one
     file, or all files that ``name``, an expression over ``path`` and ``file``, calls the same.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
+        "value",
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        "value",
-        F.monotonically_increasing_id().alias("_at"),
     )
-    in_first_block = F.when(F.col("_block") == 0, F.col("_at"))
-    files = lines.groupBy("path", "file").agg(
-        F.min_by("value", in_first_block).alias("_header"),
-        (F.count_if(F.trim("value") != "") - 1).alias("data_rows"),
+    # Numbers are added up by hash; no line is sorted, and only first lines are moved.
+    counts = lines.groupBy("_path", "file").agg(
+        (F.count_if(F.trim("value") != "") - 1).alias("data_rows")
     )
+    files = counts.join(first_lines(lines), "_path").withColumnRenamed("_path", "path")
     header = F.transform(
         F.split("_header", ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
     )

@@ -6,7 +6,7 @@ from duebook.operators.matching import newest_per_key
 from duebook.sources import files as f
 from duebook.sources.loads import LoadedTable, load_new_files
 from duebook.streaming.ingest import ingest_csv, ingest_json, rows_per_file
-from tests.helpers import rows, same
+from tests.helpers import plan, rows, same
 
 
 def lines(spark, folder, name, *text):
@@ -122,6 +122,11 @@ def test_json_rescue(spark, folder):
     )
 
 
+def test_landing_check_sorts_no_lines(spark, folder):
+    lines(spark, folder, "a", "KEY,OBS", *(f"{i},1" for i in range(200)))
+    assert "SortAggregate" not in plan(f.landing_problems(spark, f"{folder}/*", ["KEY"]))
+
+
 def test_landing_problems(spark, folder):
     lines(spark, folder, "ok", '"KEY",TIME_PERIOD,OBS', "a,2018-01,1")
     lines(spark, folder, "short", "KEY,OBS", "a,1")
