@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from duebook.fixed_values import BLANK_TOKENS, Rule
-from duebook.operators import checks, replay
-from duebook.operators.columns import blank_to_null, lower_names, retype, stack_by_name
+from duebook.operators import checks, measures, replay
+from duebook.operators.columns import blank_to_null, lower_names, retype, stack_by_name, stack_labelled
 from duebook.operators.delinquency import settle_installments
 from duebook.session import scratch_folder
 from duebook.sources import files as f
@@ -420,3 +420,47 @@ def reconcile_multiset(spark, sf):
     return checks.multiset_difference(
         keys, lines.where("l_quantity > 5").select("l_orderkey", "l_linenumber")
     )
+
+
+@query(
+    "raw_delivery",
+    Columns(ints="rows rescued without_time without_file foreign_files tables_with_time"),
+    """SELECT count(*) AS rows, count(*) FILTER (o_orderkey % 11 = 0) AS rescued, 0 AS without_time,
+         0 AS without_file, 0 AS foreign_files, 1 AS tables_with_time FROM orders""",
+)
+def raw_delivery(spark, sf):
+    """A raw table after its drain: rescued values, delivery columns, and files from elsewhere."""
+    folder = scratch_folder(spark, "raw")
+    key, custkey = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    misfit = F.when(key % 11 == 0, F.concat(F.lit("x"), custkey)).otherwise(custkey)
+    _write_csv(_orders(spark, sf).withColumn("o_custkey", misfit), f"{folder}/landing/orders")
+    schema = StructType.fromDDL(f"{_HINTS}, o_orderstatus STRING")
+    ingest_csv(spark, f"{folder}/landing/orders", f"{folder}/raw", f"{folder}/state", schema)
+    raw = spark.read.parquet(f"{folder}/raw")
+    counts = measures.profile(
+        raw,
+        rescued="_rescued_data IS NOT NULL",
+        without_time="_ingested_at IS NULL",
+        without_file="_source_file IS NULL",
+        foreign_files=~F.col("_source_file").contains("/landing/orders/"),
+    )
+    timed = checks.tables_with_column({"raw": raw, "landed": spark.read.text(f"{folder}/landing")}, "_ingested_at")
+    return counts.withColumn("tables_with_time", F.lit(sum(timed.values())))
+
+
+_FIRST_SQL = """SELECT 'batches' AS kind, l_orderkey, l_linenumber FROM (
+         SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber LIMIT 200)
+       UNION ALL SELECT 'rows', l_orderkey, l_linenumber FROM (
+         SELECT * FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 50)"""
+
+
+@query("first_batches", Columns(ints="l_orderkey l_linenumber", texts="kind"), _FIRST_SQL)
+def first_batches(spark, sf):
+    """The first two batches of a hundred line items by day, and the fifty dearest ones."""
+    lines = a.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+    by_day = [F.asc(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber")]
+    batches = replay.cut_into_batches(lines, by_day, 100, first_batches=2)
+    by_price = [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")]
+    top = replay.first_rows(lines, by_price, 50)
+    kinds = {"batches": batches.select("l_orderkey", "l_linenumber"), "rows": top.select("l_orderkey", "l_linenumber")}
+    return stack_labelled(kinds, "kind")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from duebook.fixed_values import RULES, Rule
+from duebook.operators import checks
 from duebook.operators import rules as r
 from duebook.operators.matching import merge_rows
 from duebook.session import scratch_folder
@@ -232,3 +233,29 @@ def merge_report(spark, sf):
     return merge_rows(stale, results, r.REPORT_KEY)
 
 
+
+
+@query(
+    "check_report",
+    Columns(ints="rows keys repeated only_report only_log"),
+    """SELECT count(*) AS rows, count(*) AS keys, 0 AS repeated, 0 AS only_report, 0 AS only_log
+       FROM rule_report""",
+    "rule_report",
+)
+def check_report(spark, sf):
+    """The report's key is unique, and its counters are those of the event log, counted another way."""
+    events = a.rule_events(spark, sf)
+    results = r.report(events)
+    keys = checks.key_profile(results, r.REPORT_KEY)
+    # The same counters straight from the rows the events were made of.
+    good = (F.col("value") >= 10).cast("bigint")
+    day = F.col("ts").cast("date").cast("string")
+    plain = (
+        a.table(spark, sf, "events")
+        .groupBy(day.alias("update_id"), F.col("event_type").alias("dataset"))
+        .agg(F.sum(good).alias("passed_records"), F.sum(1 - good).alias("failed_records"))
+    )
+    differ = checks.multiset_difference(results.select(plain.columns), plain)
+    return keys.crossJoin(
+        F.broadcast(differ.withColumnsRenamed({"only_first": "only_report", "only_second": "only_log"}))
+    )
