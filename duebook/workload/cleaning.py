@@ -324,3 +324,136 @@ def correction_overlay(spark, sf):
         "c_custkey", "c_acctbal", F.when(segment == "BUILDING", "Married").otherwise(segment).alias("status")
     )
     return corrected(raw, "c_acctbal", "status")
+
+
+def _delivered(df, day=1):
+    """The rows of one delivery, with its delivery columns."""
+    return df.withColumns(
+        {
+            "_rescued_data": F.lit(None).cast("string"),
+            "_ingested_at": F.timestamp_seconds(F.lit(86400 * day)),
+            "_source_file": F.lit(f"file{day}.csv"),
+        }
+    )
+
+
+@query(
+    "clean_bureau",
+    Columns(
+        ints="sk_id_bureau sk_id_curr days_credit",
+        nums="amt_credit_sum",
+        days="credit_date credit_end_date credit_end_fact_date",
+        texts="credit_type",
+    ),
+    """SELECT o_orderkey AS sk_id_bureau, o_custkey AS sk_id_curr, -(o_orderkey % 900) AS days_credit,
+         o_totalprice AS amt_credit_sum,
+         DATE '2018-05-01' - CAST(o_orderkey % 900 AS INTEGER) AS credit_date,
+         DATE '2018-05-01' + CAST(o_orderkey % 30000 AS INTEGER) AS credit_end_date,
+         CASE WHEN o_orderkey % 3 <> 0 THEN DATE '2018-05-01' - CAST(o_orderkey % 500 AS INTEGER) END
+           AS credit_end_fact_date,
+         nullif(o_orderstatus, 'P') AS credit_type FROM orders""",
+)
+def clean_bureau(spark, sf):
+    """Bureau contracts delivered twice, with four dates made from day offsets."""
+    key = F.col("o_orderkey")
+    rows = a.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("SK_ID_CURR"),
+        key.cast("double").alias("SK_ID_BUREAU"),
+        F.when(F.col("o_orderstatus") == "P", "XAP").otherwise(F.col("o_orderstatus")).alias("CREDIT_TYPE"),
+        (-(key % 900)).cast("double").alias("DAYS_CREDIT"),
+        (key % 30000).cast("double").alias("DAYS_CREDIT_ENDDATE"),
+        F.when(key % 3 != 0, -(key % 500)).cast("double").alias("DAYS_ENDDATE_FACT"),
+        F.col("o_totalprice").alias("AMT_CREDIT_SUM"),
+    )
+    earlier = rows.where(F.col("SK_ID_BUREAU") % 2 == 0).withColumn("AMT_CREDIT_SUM", F.lit(0.0))
+    return tidy_table("bureau", {"bureau": _delivered(rows, 2).unionByName(_delivered(earlier, 1))})
+
+
+@query(
+    "clean_previous_application",
+    Columns(
+        ints="sk_id_prev sk_id_curr days_decision days_last_due sellerplace_area",
+        nums="amt_annuity",
+        days="decision_date",
+        flags="days_last_due_anomaly sellerplace_area_anomaly",
+        texts="code_reject_reason name_contract_status",
+    ),
+    """SELECT o_orderkey AS sk_id_prev, o_custkey AS sk_id_curr, -(o_orderkey % 300) AS days_decision,
+         CASE WHEN o_orderkey % 5 <> 0 THEN -(o_orderkey % 100) END AS days_last_due,
+         o_orderkey % 5 = 0 AS days_last_due_anomaly,
+         CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 50 END AS sellerplace_area,
+         o_orderkey % 7 = 0 AS sellerplace_area_anomaly, o_totalprice AS amt_annuity,
+         DATE '2018-05-01' - CAST(o_orderkey % 300 AS INTEGER) AS decision_date,
+         CASE WHEN o_orderkey % 2 <> 0 THEN 'HC' END AS code_reject_reason,
+         o_orderstatus AS name_contract_status FROM orders""",
+)
+def clean_previous_application(spark, sf):
+    """Earlier contracts: sentinels of several columns, tokens, and a date from an offset."""
+    key = F.col("o_orderkey")
+    rows = a.table(spark, sf, "orders").select(
+        key.alias("SK_ID_PREV"),
+        F.col("o_custkey").alias("SK_ID_CURR"),
+        F.col("o_orderstatus").alias("NAME_CONTRACT_STATUS"),
+        F.when(key % 2 == 0, "XAP").otherwise("HC").alias("CODE_REJECT_REASON"),
+        (-(key % 300)).alias("DAYS_DECISION"),
+        F.when(key % 5 == 0, 365243.0).otherwise(-(key % 100)).alias("DAYS_LAST_DUE"),
+        F.when(key % 7 == 0, -1).otherwise(key % 50).alias("SELLERPLACE_AREA"),
+        F.col("o_totalprice").alias("AMT_ANNUITY"),
+    )
+    return tidy_table("previous_application", {"previous_application": _delivered(rows)})
+
+
+_MONTHLY_SQL = """SELECT l_orderkey AS sk_id_prev, l_suppkey AS sk_id_curr, -l_linenumber AS months_balance,
+       CAST(l_quantity AS INTEGER) AS sk_dpd, {more},
+       CAST(DATE '2018-05-01' - to_months(CAST(l_linenumber AS INTEGER)) AS DATE) AS month,
+       nullif(l_returnflag, 'N') AS name_contract_status,
+       l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O') AS has_previous_application
+     FROM (SELECT l_orderkey, l_linenumber, max(l_suppkey) AS l_suppkey, max(l_quantity) AS l_quantity,
+             max(l_returnflag) AS l_returnflag, max(l_extendedprice) AS l_extendedprice, max(l_tax) AS l_tax
+           FROM lineitem GROUP BY ALL)"""
+
+
+def _monthly(spark, sf, entity, **more):
+    """A monthly balance table of contracts, some of which are not among the earlier contracts."""
+    status = F.when(F.col("l_returnflag") == "N", "XNA").otherwise(F.col("l_returnflag"))
+    values = ("l_suppkey", "l_quantity", "l_returnflag", "l_extendedprice", "l_tax")
+    lines = a.table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    rows = lines.agg(*(F.max(c).alias(c) for c in values)).select(
+        F.col("l_orderkey").alias("SK_ID_PREV"),
+        F.col("l_suppkey").alias("SK_ID_CURR"),
+        (-F.col("l_linenumber")).alias("MONTHS_BALANCE"),
+        status.alias("NAME_CONTRACT_STATUS"),
+        F.col("l_quantity").cast("double").alias("SK_DPD"),
+        *(F.col(column).alias(name) for name, column in more.items()),
+    )
+    known = a.table(spark, sf, "orders").where("o_orderstatus = 'O'")
+    return tidy_table(entity, {entity: _delivered(rows)}, known.select(F.col("o_orderkey").alias("sk_id_prev")))
+
+
+@query(
+    "clean_pos_cash",
+    Columns(
+        ints="sk_id_prev sk_id_curr months_balance sk_dpd cnt_instalment_future",
+        days="month",
+        flags="has_previous_application",
+        texts="name_contract_status",
+    ),
+    _MONTHLY_SQL.format(more="l_linenumber AS cnt_instalment_future"),
+)
+def clean_pos_cash(spark, sf):
+    return _monthly(spark, sf, "pos_cash_balance", CNT_INSTALMENT_FUTURE="l_linenumber")
+
+
+@query(
+    "clean_credit_card",
+    Columns(
+        ints="sk_id_prev sk_id_curr months_balance sk_dpd",
+        nums="amt_balance amt_receivable",
+        days="month",
+        flags="has_previous_application",
+        texts="name_contract_status",
+    ),
+    _MONTHLY_SQL.format(more="l_extendedprice AS amt_balance, l_tax AS amt_receivable"),
+)
+def clean_credit_card(spark, sf):
+    return _monthly(spark, sf, "credit_card_balance", AMT_BALANCE="l_extendedprice", AMT_RECIVABLE="l_tax")
