@@ -10,9 +10,12 @@
    it meets most often, then with others that are not connected yet. Classes that these links
    already connect need no further comparison. In further rounds, the classes outside a key's
    largest component are each compared with one member of it, another one each round, as long as
-   that finds links; what is left at last is compared with all classes of other components. So a
-   group of n near copies costs some n comparisons, not n * n, and no link between different
-   components is lost. Comparisons use the full sets, after bounds on set sizes and signatures.
+   that connects a fair share of them. So a group of n near copies costs some n comparisons, not
+   n * n. Components only grow, so a key whose classes are all connected is never looked at again.
+4. What is left under the other keys is compared with all classes of other components that are near
+   enough by signature and set size. Near classes share many keys, so each pair is made under the
+   first key they share only, which their signatures tell; no link between different components is
+   lost. Comparisons use the full sets.
 
 At a similarity of 0.8 a position differs with probability 0.2; more than 20 of 42 differ with
 probability 5e-6, which is the chance that a link at the very threshold is not guaranteed to meet.
@@ -30,21 +33,28 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from duebook.llm.batches import mixed, slices, texts_of, word_hashes
 from duebook.llm.components import components
 from duebook.llm.rows import identified, packed, pinned
-from duebook.session import broadcast_if_small, settle_down
+from duebook.session import broadcast_if_small, remove_folder, scratch_folder, settle_down
 
 CHUNKS, CHUNK_POSITIONS, ERRORS = 7, 6, 2
 POSITIONS = CHUNKS * CHUNK_POSITIONS
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
-#: Rounds that look for links to single members of the largest component at most.
-ROUNDS = 2
+#: A round of links to single members is followed by another one if it connects this share of the classes.
+FAIR_SHARE = 0.1
+#: Comparisons of signatures under one key that one task makes; a key with more is cut into parts.
+PART_PAIRS = 4_000_000
 KEPT_POSITIONS = list(combinations(range(CHUNK_POSITIONS), CHUNK_POSITIONS - ERRORS))
+#: Signatures as bigints of LANES values each, for comparisons in SQL expressions.
+LANES = 3
+WORDS = POSITIONS // LANES
+LANE_TOPS = sum(0x8000 << 16 * i for i in range(LANES))
+LANE_RESTS = sum(0x7FFF << 16 * i for i in range(LANES))
 
 #: Multipliers of the MinHash permutations and of the mixing function, drawn once from a fixed seed.
 _DRAWN = np.random.default_rng(20_240_501)
@@ -108,7 +118,7 @@ def measured(docs: DataFrame, size: int) -> DataFrame:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """``key, class``: one row per class, chunk and choice of positions."""
+    """``key, choice, class``: one row per class, chunk and choice of positions, which ``choice`` numbers."""
     kept = np.array(KEPT_POSITIONS)
     salt = np.arange(CHUNKS * len(kept), dtype=np.uint64).reshape(CHUNKS, len(kept))
 
@@ -121,9 +131,11 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 for place in range(kept.shape[1]):
                     key = mixed(key) + values[:, :, kept[:, place]]
                 owner = np.repeat(part.column("class").to_numpy(), key[0].size)
-                yield pa.record_batch({"key": pa.array(mixed(key).ravel().view(np.int64)), "class": pa.array(owner)})
+                choice = np.tile(np.arange(salt.size, dtype=np.int16), part.num_rows)
+                columns = [mixed(key).ravel().view(np.int64), choice, owner]
+                yield pa.record_batch([pa.array(c) for c in columns], ["key", "choice", "class"])
 
-    return classes.select("class", "signature").mapInArrow(file, "key bigint, class bigint")
+    return classes.select("class", "signature").mapInArrow(file, "key bigint, choice smallint, class bigint")
 
 
 class Confirmer:
@@ -148,9 +160,16 @@ class Confirmer:
             own = facts.select(*(F.col(c).alias(f"{c}_{side}") for c in facts.columns))
             pairs = pairs.join(own, F.col(side) == F.col(f"class_{side}"))
 
+        near = pairs.where(self.sizes_fit())
+        return self.at_hand(near.where(distance("signature_a", "signature_b") <= GUARANTEED).select(columns))
+
+    def sizes_fit(self) -> Column:
         small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-        near = pairs.where(100 * small >= self.percent * large)
-        near = pinned(near.where(distance("signature_a", "signature_b") <= GUARANTEED).select(columns))
+        return 100 * small >= self.percent * large
+
+    def at_hand(self, near: DataFrame) -> DataFrame:
+        """``near``, written once; the texts of its classes ``a, b`` are at hand from then on."""
+        near = pinned(near)
         self._fetch(near.select(F.col("a").alias("class")).union(near.select("b")).distinct())
         return near
 
@@ -195,24 +214,42 @@ class Confirmer:
         self.texts = found if self.texts is None else self.texts.union(found)
 
 
-def rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``class, root``: the least class that each class can reach."""
-    roots = components(links)
-    return classes.join(roots.select(F.col("a").alias("class"), F.col("b").alias("_r")), "class", "left").select(
-        "class", F.coalesce("_r", "class").alias("root")
-    )
-
-
-def mixed_keys(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of ``shared`` under keys whose classes lie in different components, with each
-    class's ``root`` and the key's ``main`` root, which most of its classes have."""
-    placed = pinned(shared.join(roots, "class"))
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots"), F.sum("n").alias("classes")
-    )
-    # Under a key of two classes, the only pair was compared at first.
-    return pinned(placed.join(main.where("roots > 1 AND classes > 2").select("key", "main"), "key"))
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``class, root``: the least class that each class can reach, by ``roots`` and further ``links``."""
+    found = links
+    for side in "ab":
+        found = found.join(roots.select(F.col("class").alias(side), F.col("root").alias(f"root_{side}")), side)
+    between = found.where("root_a != root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    above = components(between).select(F.col("a").alias("root"), F.col("b").alias("_above"))
+    return pinned(roots.join(above, "root", "left").select("class", F.coalesce("_above", "root").alias("root")))
+
+
+class Crowds:
+    """The filed rows under keys whose classes lie in different components, as components grow."""
+
+    def __init__(self, shared: DataFrame):
+        self.rows, self.folder = shared, None
+
+    def narrow(self, roots: DataFrame) -> DataFrame:
+        """``key, choice, class, root, main``: the rows left, with the root of each class and the
+        root that most classes under its key have. Earlier results can't be read any more."""
+        spark = roots.sparkSession
+        placed = self.rows.select("key", "choice", "class").join(roots, "class")
+        span = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+        # Under a key of two classes, the only pair was compared at first.
+        open_ = placed.join(span.where("low != high AND n > 2").select("key"), "key")
+        folder = scratch_folder(spark, "near-crowds")
+        open_.write.parquet(f"{folder}/placed")
+        if self.folder:
+            remove_folder(spark, self.folder)
+        self.rows, self.folder = spark.read.schema(open_.schema).parquet(f"{folder}/placed"), folder
+        sizes = self.rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+        main = sizes.groupBy("key").agg(
+            F.max_by("root", F.struct("n", "root")).alias("main"),
+            F.sum("n").alias("classes"),
+            (F.sum("n") - F.max("n")).alias("outside"),
+        )
+        return self.rows.join(main, "key")
 
 
 @F.arrow_udf(IntegerType())
@@ -222,35 +259,69 @@ def distance(one: pa.Array, other: pa.Array) -> pa.Array:
     return pa.array(np.not_equal(*sides).sum(axis=1).astype(np.int32))
 
 
-def with_distance(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-    """The distinct pairs ``a, b`` of classes with the distance of their signatures."""
-    pairs = pairs.select("a", "b").distinct()
-    for side in "ab":
-        own = classes.select(F.col("class").alias(side), F.col("signature").alias(f"signature_{side}"))
-        pairs = pairs.join(own, side)
-    return pairs.select("a", "b", distance("signature_a", "signature_b").alias(name))
+def as_words(classes: DataFrame) -> DataFrame:
+    """``class, n_shingles, w0, w1, ...``: signatures as bigints, LANES values in each."""
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shifts = np.arange(LANES, dtype=np.int64) * 16
+        for batch in batches:
+            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16)
+            words = (values.reshape(-1, WORDS, LANES).astype(np.int64) << shifts).sum(axis=2)
+            columns = [batch.column("class"), batch.column("n_shingles"), *(pa.array(w) for w in words.T)]
+            yield pa.record_batch(columns, ["class", "n_shingles", *(f"w{i}" for i in range(WORDS))])
+
+    ddl = "class bigint, n_shingles bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS))
+    return classes.select("class", "n_shingles", "signature").mapInArrow(turn, ddl)
+
+
+def differing(word: int) -> Column:
+    """The top bit of each lane in which word number ``word`` of two signatures differs."""
+    lanes = F.col(f"w{word}_a").bitwiseXOR(F.col(f"w{word}_b"))
+    full = lanes.bitwiseAND(F.lit(LANE_RESTS)) + F.lit(LANE_RESTS)  # no lane runs over into the next one
+    return full.bitwiseOR(lanes).bitwiseAND(F.lit(LANE_TOPS))
+
+
+def first_shared_choice() -> Column:
+    """The least choice of chunk and positions in which two signatures agree (null: none)."""
+    places = CHUNK_POSITIONS // LANES
+    # By the set of differing positions as bits: the first choice that leaves them all out.
+    first = []
+    for wrong in range(1 << CHUNK_POSITIONS):
+        fits = [i for i, kept in enumerate(KEPT_POSITIONS) if not any(wrong >> p & 1 for p in kept)]
+        first.append(F.lit(fits[0] if fits else None).cast("int"))
+    table = F.array(*first)
+
+    def of_chunk(chunk: int) -> Column:
+        wrong = F.lit(0).cast("bigint")
+        for i in range(CHUNK_POSITIONS):
+            bit = F.shiftrightunsigned(differing(places * chunk + i // LANES), 16 * (i % LANES) + 15)
+            wrong = wrong.bitwiseOR(F.shiftleft(bit.bitwiseAND(F.lit(1).cast("bigint")), i))
+        return F.get(table, wrong.cast("int")) + F.lit(chunk * len(KEPT_POSITIONS))
+
+    return F.coalesce(*(of_chunk(c) for c in range(CHUNKS)))
 
 
 def pairs_across(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b``: pairs under a key that lie in different components and may be near.
+    """``a, b``: all pairs under a key that lie in different components and may be near, each once.
 
-    By the triangle inequality, a class is farther than GUARANTEED from all classes of a component
-    if its distance from the component's root exceeds theirs by more than that. This excludes most
-    pairs of a chance visitor and a large group, before any of them are made.
+    One side of such a pair is outside the key's main component. Where very many pairs meet under
+    a key, its outside rows are dealt over parts, each with a copy of the key's rows.
     """
-    of_root = with_distance(placed.select(F.col("class").alias("a"), F.col("root").alias("b")), classes, "to_root")
-    members = pinned(placed.join(of_root.select(F.col("a").alias("class"), "to_root"), "class"))
-    reach = members.groupBy("key", "root").agg(F.max("to_root").alias("reach"))
-    outside = members.where("root != main").select("key", "head", F.col("class").alias("a"), F.col("root").alias("root_a"))
-    facing = pinned(outside.join(reach, "key").where("root_a != root"))
-    gap = with_distance(facing.select("a", F.col("root").alias("b")), classes, "gap").withColumnRenamed("b", "root")
-    open_ = facing.join(gap, ["a", "root"]).where(F.col("gap") - F.col("reach") <= GUARANTEED)
-    others = members.select("key", "root", F.col("class").alias("b"), "to_root")
+    facts = as_words(classes.join(placed.select("class").distinct(), "class", "left_semi"))
+    parts = F.ceil(F.col("outside") * F.col("classes") / PART_PAIRS)
+    rows = placed.withColumn("parts", F.greatest(parts, F.lit(1)).cast("int")).join(facts, "class")
+    own = [c for c in ("class", "root", "n_shingles", *(f"w{i}" for i in range(WORDS)))]
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
+    one = rows.where("root != main").select("key", "choice", part.alias("part"), "main", *(F.col(c).alias(f"{c}_a") for c in own))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    other = rows.select("key", every.alias("part"), *(F.col(c).alias(f"{c}_b") for c in own))
+    n_differing = sum((F.bit_count(differing(w)) for w in range(1, WORDS)), F.bit_count(differing(0)))
     return (
-        open_.join(others, ["key", "root"])
-        .where((F.col("gap") - F.col("to_root") <= GUARANTEED) & (F.col("a") != F.col("head")) & (F.col("b") != F.col("head")))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+        one.join(other, ["key", "part"])
+        .where("root_a != root_b AND (root_b = main OR class_a > class_b)")
+        .where(n_differing <= GUARANTEED)
+        .where(F.col("choice") == first_shared_choice())
+        .select("class_a", "class_b", "n_shingles_a", "n_shingles_b")
     )
 
 
@@ -280,27 +351,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     met = shared.where("class != head").groupBy("class", "head").agg(F.count("*").alias("n"))
     headed = confirmer.close(met.select(F.col("class").alias("a"), F.col("head").alias("b"), "n"))
     nearest = pinned(headed.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b")))
-    links = confirmer.links(nearest)
-    roots = rooted(classes, links)
+    roots = merged(classes.select("class", F.col("class").alias("root")), confirmer.links(nearest))
     rest = headed.select("a", "b").join(nearest, ["a", "b"], "left_anti")
     for side in "ab":
         rest = rest.join(roots.select(F.col("class").alias(side), F.col("root").alias(f"root_{side}")), side)
-    links = pinned(links.union(confirmer.links(rest.where("root_a != root_b"))))
-    for turn in range(1, ROUNDS + 1):
-        placed = mixed_keys(shared, rooted(classes, links))
+    roots = merged(roots, confirmer.links(rest.where("root_a != root_b")))
+
+    crowds, turn = Crowds(shared), 0
+    placed = crowds.narrow(roots)
+    while True:
         # One member of the key's largest component, another one in each round.
+        turn += 1
         order = F.xxhash64(F.lit(turn), "class")
         member = placed.where("root = main").groupBy("key").agg(F.min_by("class", order).alias("b"))
         outside = placed.where("root != main").select("key", F.col("class").alias("a"))
         found = confirmer.links(confirmer.close(outside.join(member, "key").select("a", "b").distinct()))
-        if found.isEmpty():
+        connected, left = found.select("a").distinct().count(), outside.select("a").distinct().count()
+        if connected:
+            roots = merged(roots, found)
+            placed = crowds.narrow(roots)
+        if connected <= FAIR_SHARE * left:
             break
-        links = pinned(links.union(found))
 
     # What the rounds did not connect is compared with every class of another component.
-    placed = mixed_keys(shared, rooted(classes, links))
-    across = confirmer.close(pairs_across(placed, classes))
-    roots = rooted(classes, links.union(confirmer.links(across)))
+    near = pairs_across(placed, classes).where(confirmer.sizes_fit())
+    near = near.select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b"))
+    across = confirmer.at_hand(near.join(headed, ["a", "b"], "left_anti"))
+    roots = merged(roots, confirmer.links(across))
 
     members = classes.select("class", "set_key", "doc_id").join(roots, "class")
     least_id = members.groupBy("root").agg(F.min("doc_id").alias("component"))
