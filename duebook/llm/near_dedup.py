@@ -50,11 +50,10 @@ FAIR_SHARE = 0.1
 #: Comparisons of signatures under one key that one task makes; a key with more is cut into parts.
 PART_PAIRS = 4_000_000
 KEPT_POSITIONS = list(combinations(range(CHUNK_POSITIONS), CHUNK_POSITIONS - ERRORS))
-#: Signatures as bigints of LANES values each, for comparisons in SQL expressions.
-LANES = 3
-WORDS = POSITIONS // LANES
-LANE_TOPS = sum(0x8000 << 16 * i for i in range(LANES))
-LANE_RESTS = sum(0x7FFF << 16 * i for i in range(LANES))
+#: Bits of a signature's value: the values of a chunk fit in one bigint, for comparisons in SQL.
+BITS = 10
+LANE_TOPS = sum(1 << BITS * i + BITS - 1 for i in range(CHUNK_POSITIONS))
+LANE_RESTS = sum((1 << BITS - 1) - 1 << BITS * i for i in range(CHUNK_POSITIONS))
 
 #: Multipliers of the MinHash permutations and of the mixing function, drawn once from a fixed seed.
 _DRAWN = np.random.default_rng(20_240_501)
@@ -84,12 +83,12 @@ def _windows(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """POSITIONS values of 16 bits."""
+    """POSITIONS values of BITS bits."""
     least = np.full(POSITIONS, np.uint64(2**64 - 1))
     for low in range(0, len(shingles), 8_192):
         part = shingles[low : low + 8_192] * FACTORS[:, None] + SHIFTS[:, None]
         np.minimum(least, part.min(axis=1), out=least)
-    return mixed(least).astype(np.uint16)
+    return (mixed(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
 def measured(docs: DataFrame, size: int) -> DataFrame:
@@ -259,68 +258,75 @@ def distance(one: pa.Array, other: pa.Array) -> pa.Array:
     return pa.array(np.not_equal(*sides).sum(axis=1).astype(np.int32))
 
 
-def as_words(classes: DataFrame) -> DataFrame:
-    """``class, n_shingles, w0, w1, ...``: signatures as bigints, LANES values in each."""
+def with_chunks(classes: DataFrame) -> DataFrame:
+    """``class, n_shingles, w0, w1, ...``: each chunk of the signature as one bigint."""
+    names = [f"w{i}" for i in range(CHUNKS)]
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shifts = np.arange(LANES, dtype=np.int64) * 16
+        shifts = np.arange(CHUNK_POSITIONS, dtype=np.int64) * BITS
         for batch in batches:
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16)
-            words = (values.reshape(-1, WORDS, LANES).astype(np.int64) << shifts).sum(axis=2)
-            columns = [batch.column("class"), batch.column("n_shingles"), *(pa.array(w) for w in words.T)]
-            yield pa.record_batch(columns, ["class", "n_shingles", *(f"w{i}" for i in range(WORDS))])
+            chunks = (values.reshape(-1, CHUNKS, CHUNK_POSITIONS).astype(np.int64) << shifts).sum(axis=2)
+            columns = [batch.column("class"), batch.column("n_shingles"), *(pa.array(c) for c in chunks.T)]
+            yield pa.record_batch(columns, ["class", "n_shingles", *names])
 
-    ddl = "class bigint, n_shingles bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS))
+    ddl = "class bigint, n_shingles bigint, " + ", ".join(f"{name} bigint" for name in names)
     return classes.select("class", "n_shingles", "signature").mapInArrow(turn, ddl)
 
 
-def differing(word: int) -> Column:
-    """The top bit of each lane in which word number ``word`` of two signatures differs."""
-    lanes = F.col(f"w{word}_a").bitwiseXOR(F.col(f"w{word}_b"))
+def differing(name: str) -> Column:
+    """The top bit of each lane in which the chunks ``name`` of two signatures differ."""
+    lanes = F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b"))
     full = lanes.bitwiseAND(F.lit(LANE_RESTS)) + F.lit(LANE_RESTS)  # no lane runs over into the next one
     return full.bitwiseOR(lanes).bitwiseAND(F.lit(LANE_TOPS))
 
 
-def first_shared_choice() -> Column:
-    """The least choice of chunk and positions in which two signatures agree (null: none)."""
-    places = CHUNK_POSITIONS // LANES
-    # By the set of differing positions as bits: the first choice that leaves them all out.
-    first = []
-    for wrong in range(1 << CHUNK_POSITIONS):
-        fits = [i for i, kept in enumerate(KEPT_POSITIONS) if not any(wrong >> p & 1 for p in kept)]
-        first.append(F.lit(fits[0] if fits else None).cast("int"))
-    table = F.array(*first)
+def is_first_shared() -> Column:
+    """Is the row's choice the first one under which the two signatures meet?
 
-    def of_chunk(chunk: int) -> Column:
-        wrong = F.lit(0).cast("bigint")
-        for i in range(CHUNK_POSITIONS):
-            bit = F.shiftrightunsigned(differing(places * chunk + i // LANES), 16 * (i % LANES) + 15)
-            wrong = wrong.bitwiseOR(F.shiftleft(bit.bitwiseAND(F.lit(1).cast("bigint")), i))
-        return F.get(table, wrong.cast("int")) + F.lit(chunk * len(KEPT_POSITIONS))
-
-    return F.coalesce(*(of_chunk(c) for c in range(CHUNKS)))
+    No earlier chunk has at most ERRORS differing positions, and in the choice's own chunk the
+    positions left out are those that differ and then the last ones of the chunk.
+    """
+    top = [1 << BITS * i + BITS - 1 for i in range(CHUNK_POSITIONS)]
+    last, before = top[-1], top[-2]
+    earlier = F.lit(True)
+    for chunk in range(CHUNKS - 1):
+        earlier &= (F.col("chunk") <= chunk) | (F.bit_count(differing(f"w{chunk}")) > ERRORS)
+    spare = F.col("omitted").bitwiseXOR(differing("own"))
+    fits = spare.isin(0, last, last | before) | ((spare == before) & (F.col("omitted") == (last | before)))
+    return fits & earlier
 
 
 def pairs_across(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b``: all pairs under a key that lie in different components and may be near, each once.
+    """``class_a, class_b, n_shingles_a, n_shingles_b``: all pairs under a key that lie in different
+    components and may be near by signature, each once.
 
     One side of such a pair is outside the key's main component. Where very many pairs meet under
     a key, its outside rows are dealt over parts, each with a copy of the key's rows.
     """
-    facts = as_words(classes.join(placed.select("class").distinct(), "class", "left_semi"))
+    facts = with_chunks(classes.join(placed.select("class").distinct(), "class", "left_semi"))
     parts = F.ceil(F.col("outside") * F.col("classes") / PART_PAIRS)
-    rows = placed.withColumn("parts", F.greatest(parts, F.lit(1)).cast("int")).join(facts, "class")
-    own = [c for c in ("class", "root", "n_shingles", *(f"w{i}" for i in range(WORDS)))]
-    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int")
-    one = rows.where("root != main").select("key", "choice", part.alias("part"), "main", *(F.col(c).alias(f"{c}_a") for c in own))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    other = rows.select("key", every.alias("part"), *(F.col(c).alias(f"{c}_b") for c in own))
-    n_differing = sum((F.bit_count(differing(w)) for w in range(1, WORDS)), F.bit_count(differing(0)))
+    # What a choice stands for: its chunk, and the top bits of the positions left out.
+    left_out = [set(range(CHUNK_POSITIONS)) - set(kept) for kept in KEPT_POSITIONS]
+    omitted = F.array(*(F.lit(sum(1 << BITS * i + BITS - 1 for i in places)).cast("bigint") for places in left_out))
+    chunk = F.floor(F.col("choice") / len(KEPT_POSITIONS)).cast("int")
+    own = F.get(F.array(*(f"w{i}" for i in range(CHUNKS))), chunk)
+    rows = (
+        placed.join(facts, "class")
+        .withColumn("parts", F.greatest(parts, F.lit(1)).cast("int"))
+        .withColumns({"chunk": chunk, "own": own, "omitted": F.get(omitted, (F.col("choice") % len(KEPT_POSITIONS)).cast("int"))})
+    )
+    facing = ["class", "root", "n_shingles", "own", *(f"w{i}" for i in range(CHUNKS))]
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part")
+    one = rows.where("root != main").select("key", part, "main", "chunk", "omitted", *(F.col(c).alias(f"{c}_a") for c in facing))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    other = rows.select("key", every, *(F.col(c).alias(f"{c}_b") for c in facing))
+    n_differing = sum((F.bit_count(differing(f"w{i}")) for i in range(1, CHUNKS)), F.bit_count(differing("w0")))
     return (
         one.join(other, ["key", "part"])
         .where("root_a != root_b AND (root_b = main OR class_a > class_b)")
         .where(n_differing <= GUARANTEED)
-        .where(F.col("choice") == first_shared_choice())
+        .where(is_first_shared())
         .select("class_a", "class_b", "n_shingles_a", "n_shingles_b")
     )
 

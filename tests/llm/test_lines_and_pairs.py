@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql.functions import expr
 
 from duebook.llm import line_dedup, near_dedup
 from duebook.llm.components import components
@@ -146,6 +147,26 @@ def test_signatures_within_the_guarantee_meet(spark):
     assert keys.join(own, "key").select("class").distinct().count() == 200
 
 
+def test_each_pair_across_is_made_once(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << near_dedup.BITS, near_dedup.POSITIONS)
+    rows = []
+    for i in range(150):
+        values = base.copy()
+        wrong = rng.choice(near_dedup.POSITIONS, rng.integers(0, 26), replace=False)
+        values[wrong] = rng.integers(0, 1 << near_dedup.BITS, len(wrong))
+        rows.append((i, bytearray(values.astype(np.uint16).tobytes()), 10))
+    classes = spark.createDataFrame(rows, "class bigint, signature binary, n_shingles bigint")
+    monkeypatch.setattr(near_dedup, "PART_PAIRS", 50)
+    facts = {"root": "class % 40", "main": "3L", "classes": "150L", "outside": "140L"}
+    placed = near_dedup.index_keys(classes).withColumns({name: expr(sql) for name, sql in facts.items()})
+    got = sorted(tuple(sorted((r.class_a, r.class_b))) for r in near_dedup.pairs_across(placed, classes).collect())
+    signatures = np.array([np.frombuffer(bytes(r[1]), np.uint16) for r in rows])
+    apart = (signatures[:, None] != signatures[None]).sum(axis=2)
+    pairs = [(i, j) for i in range(150) for j in range(i + 1, 150) if i % 40 != j % 40]
+    assert got == [p for p in pairs if apart[p] <= near_dedup.GUARANTEED]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 540)] + [(3, 1), (1, 2), (7, 7)]
     found = components(spark.createDataFrame(links, "a bigint, b bigint"))
