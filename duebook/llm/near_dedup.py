@@ -13,9 +13,15 @@
    that connects a fair share of them. So a group of n near copies costs some n comparisons, not
    n * n. Components only grow, so a key whose classes are all connected is never looked at again.
 4. What is left under the other keys is compared with all classes of other components that are near
-   enough by signature and set size. Near classes share many keys, so each pair is made under the
-   first key they share only, which their signatures tell; no link between different components is
-   lost. Comparisons use the full sets.
+   enough by signature, set size and sketch. Near classes share many keys, so each pair is made under
+   the first key they share only, which their signatures tell; no link between different components
+   is lost. Comparisons use the full sets.
+
+A set's sketch tells, for each of some hundred buckets, whether an odd number of its shingles fall
+into it. Each shingle that only one of two sets holds turns one bucket, so two sketches never differ
+in more buckets than the sets do in shingles: a pair whose sketches differ in too many can't be
+linked, and its texts need not be read. Of groups whose members lie just below the similarity that
+excludes most pairs, of sets far larger than the sketch none.
 
 At a similarity of 0.8 a position differs with probability 0.2; more than 20 of 42 differ with
 probability 5e-6, which is the chance that a link at the very threshold is not guaranteed to meet.
@@ -39,8 +45,8 @@ from pyspark.sql.types import IntegerType
 
 from duebook.llm.batches import mixed, slices, texts_of, word_hashes
 from duebook.llm.components import components
-from duebook.llm.rows import identified, packed, pinned
-from duebook.session import broadcast_if_small, remove_folder, scratch_folder, settle_down
+from duebook.llm.rows import identified, packed, pinned, shuffle_tasks
+from duebook.session import broadcast_if_small, remove_folder, scratch_folder, settle_down, with_columns
 
 CHUNKS, CHUNK_POSITIONS, ERRORS = 7, 6, 2
 POSITIONS = CHUNKS * CHUNK_POSITIONS
@@ -48,13 +54,16 @@ GUARANTEED = CHUNKS * (ERRORS + 1) - 1
 #: A round of links to single members is followed by another one if it connects this share of the classes.
 FAIR_SHARE = 0.1
 #: Comparisons of signatures under one key that one task makes; a key with more is cut into parts.
-PART_PAIRS = 4_000_000
+PART_PAIRS = 1_000_000
 KEPT_POSITIONS = list(combinations(range(CHUNK_POSITIONS), CHUNK_POSITIONS - ERRORS))
 #: Bits of a signature's value: the values of a chunk fit in one bigint, for comparisons in SQL.
 BITS = 10
 LANE_TOPS = sum(1 << BITS * i + BITS - 1 for i in range(CHUNK_POSITIONS))
 LANE_RESTS = sum((1 << BITS - 1) - 1 << BITS * i for i in range(CHUNK_POSITIONS))
 
+#: The sketch's words of 64 buckets, as columns.
+SKETCH = [f"s{i}" for i in range(8)]
+
 #: Multipliers of the MinHash permutations and of the mixing function, drawn once from a fixed seed.
 _DRAWN = np.random.default_rng(20_240_501)
 FACTORS = _DRAWN.integers(1, 2**63, POSITIONS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,17 +100,25 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(least) >> np.uint64(64 - BITS)).astype(np.uint16)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """For each bucket one bit: does an odd number of the shingles fall into it?"""
+    buckets = 64 * len(SKETCH)
+    odd = np.bincount((shingles % np.uint64(buckets)).astype(np.int64), minlength=buckets) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def measured(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, text_key, n_shingles, set_key, signature`` of each row; null key: no words."""
+    """``doc_id, text_key, n_shingles, set_key, signature`` and SKETCH of each row; null key: no words."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            counts, keys, signatures = [], [], []
+            counts, keys, signatures, sketches = [], [], [], []
             for shingles in shingle_sets(texts_of(batch), size):
                 counts.append(len(shingles))
                 empty = not len(shingles)
                 keys.append(None if empty else xxhash.xxh3_128_digest(shingles.tobytes()))
                 signatures.append(None if empty else signature(shingles).tobytes())
+                sketches.append(sketch(shingles))
             yield pa.record_batch(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -109,11 +126,12 @@ def measured(docs: DataFrame, size: int) -> DataFrame:
                     "n_shingles": pa.array(counts, pa.int64()),
                     "set_key": pa.array(keys, pa.binary()),
                     "signature": pa.array(signatures, pa.binary()),
+                    **dict(zip(SKETCH, map(pa.array, np.stack(sketches, axis=1)), strict=True)),
                 }
             )
 
     ddl = "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, signature binary"
-    return identified(docs).mapInArrow(measure, ddl)
+    return identified(docs).mapInArrow(measure, ", ".join([ddl, *(f"{name} bigint" for name in SKETCH)]))
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
@@ -149,23 +167,19 @@ class Confirmer:
         self.texts: DataFrame | None = None
 
     def close(self, pairs: DataFrame) -> DataFrame:
-        """The rows of ``pairs`` whose classes ``a, b`` may be near by set size and signature.
+        """The rows of ``pairs`` whose classes ``a, b`` may be near by set size, sketch and signature.
 
         Their texts are at hand from then on.
         """
         columns = pairs.columns
-        facts = self.classes.select("class", "signature", "n_shingles")
+        facts = self.classes.select("class", "signature", "n_shingles", *SKETCH)
         for side in "ab":
             own = facts.select(*(F.col(c).alias(f"{c}_{side}") for c in facts.columns))
             pairs = pairs.join(own, F.col(side) == F.col(f"class_{side}"))
 
-        near = pairs.where(self.sizes_fit())
+        near = pairs.where(may_be_linked(self.percent))
         return self.at_hand(near.where(distance("signature_a", "signature_b") <= GUARANTEED).select(columns))
 
-    def sizes_fit(self) -> Column:
-        small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-        return 100 * small >= self.percent * large
-
     def at_hand(self, near: DataFrame) -> DataFrame:
         """``near``, written once; the texts of its classes ``a, b`` are at hand from then on."""
         near = pinned(near)
@@ -251,6 +265,17 @@ class Crowds:
         return self.rows.join(main, "key")
 
 
+def may_be_linked(percent: int) -> Column:
+    """Do sizes and sketches leave room for the similarity?
+
+    With d shingles in one set only and n in both sizes together it is (n - d) / (n + d).
+    """
+    small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+    turned = [F.bit_count(F.col(f"{name}_a").bitwiseXOR(F.col(f"{name}_b"))) for name in SKETCH]
+    room = (100 - percent) * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    return (100 * small >= percent * large) & ((100 + percent) * sum(turned[1:], turned[0]) <= room)
+
+
 @F.arrow_udf(IntegerType())
 def distance(one: pa.Array, other: pa.Array) -> pa.Array:
     """The positions in which two signatures differ."""
@@ -259,19 +284,20 @@ def distance(one: pa.Array, other: pa.Array) -> pa.Array:
 
 
 def with_chunks(classes: DataFrame) -> DataFrame:
-    """``class, n_shingles, w0, w1, ...``: each chunk of the signature as one bigint."""
+    """``classes`` with ``w0, w1, ...``, each chunk of the signature as one bigint, for the signature."""
     names = [f"w{i}" for i in range(CHUNKS)]
+    others = [name for name in classes.columns if name != "signature"]
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shifts = np.arange(CHUNK_POSITIONS, dtype=np.int64) * BITS
         for batch in batches:
             values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16)
             chunks = (values.reshape(-1, CHUNKS, CHUNK_POSITIONS).astype(np.int64) << shifts).sum(axis=2)
-            columns = [batch.column("class"), batch.column("n_shingles"), *(pa.array(c) for c in chunks.T)]
-            yield pa.record_batch(columns, ["class", "n_shingles", *names])
+            columns = [*(batch.column(name) for name in others), *(pa.array(c) for c in chunks.T)]
+            yield pa.record_batch(columns, [*others, *names])
 
-    ddl = "class bigint, n_shingles bigint, " + ", ".join(f"{name} bigint" for name in names)
-    return classes.select("class", "n_shingles", "signature").mapInArrow(turn, ddl)
+    schema = with_columns(classes.select(others).schema, ", ".join(f"{name} bigint" for name in names))
+    return classes.mapInArrow(turn, schema)
 
 
 def differing(name: str) -> Column:
@@ -297,14 +323,16 @@ def is_first_shared() -> Column:
     return fits & earlier
 
 
-def pairs_across(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """``class_a, class_b, n_shingles_a, n_shingles_b``: all pairs under a key that lie in different
-    components and may be near by signature, each once.
+def pairs_across(placed: DataFrame, classes: DataFrame, percent: int | None = None) -> DataFrame:
+    """``class_a, class_b``: all pairs under a key that lie in different components and may be near by
+    signature, each once; with ``percent``, those that set size and sketch leave room for, too.
 
     One side of such a pair is outside the key's main component. Where very many pairs meet under
     a key, its outside rows are dealt over parts, each with a copy of the key's rows.
     """
-    facts = with_chunks(classes.join(placed.select("class").distinct(), "class", "left_semi"))
+    sized = [] if percent is None else ["n_shingles", *SKETCH]
+    compared = classes.select("class", "signature", *sized)
+    facts = with_chunks(compared.join(placed.select("class").distinct(), "class", "left_semi"))
     parts = F.ceil(F.col("outside") * F.col("classes") / PART_PAIRS)
     # What a choice stands for: its chunk, and the top bits of the positions left out.
     left_out = [set(range(CHUNK_POSITIONS)) - set(kept) for kept in KEPT_POSITIONS]
@@ -316,18 +344,24 @@ def pairs_across(placed: DataFrame, classes: DataFrame) -> DataFrame:
         .withColumn("parts", F.greatest(parts, F.lit(1)).cast("int"))
         .withColumns({"chunk": chunk, "own": own, "omitted": F.get(omitted, (F.col("choice") % len(KEPT_POSITIONS)).cast("int"))})
     )
-    facing = ["class", "root", "n_shingles", "own", *(f"w{i}" for i in range(CHUNKS))]
+    facing = ["class", "root", *sized, "own", *(f"w{i}" for i in range(CHUNKS))]
+    # No value is null. Without the tests for nulls the join's condition stays small enough to be compiled.
+    own_side, other_side = ([F.coalesce(c, F.lit(0)).alias(f"{c}_{side}") for c in facing] for side in "ab")
     part = F.pmod(F.xxhash64("class"), F.col("parts")).cast("int").alias("part")
-    one = rows.where("root != main").select("key", part, "main", "chunk", "omitted", *(F.col(c).alias(f"{c}_a") for c in facing))
+    one = rows.where("root != main").select("key", part, "main", "chunk", "omitted", *own_side)
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    other = rows.select("key", every, *(F.col(c).alias(f"{c}_b") for c in facing))
+    other = rows.select("key", every, *other_side)
     n_differing = sum((F.bit_count(differing(f"w{i}")) for i in range(1, CHUNKS)), F.bit_count(differing("w0")))
+    # Few bytes make many comparisons: the planner must not join partitions by their bytes.
+    tasks = shuffle_tasks(placed.sparkSession)
+    one, other = (side.repartition(tasks, "key", "part") for side in (one, other))
     return (
         one.join(other, ["key", "part"])
         .where("root_a != root_b AND (root_b = main OR class_a > class_b)")
         .where(n_differing <= GUARANTEED)
+        .where(F.lit(True) if percent is None else may_be_linked(percent))
         .where(is_first_shared())
-        .select("class_a", "class_b", "n_shingles_a", "n_shingles_b")
+        .select("class_a", "class_b")
     )
 
 
@@ -343,8 +377,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     grouped = (
         rows.where("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(least.alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-        .select("set_key", "least.doc_id", "least.text_key", "n_shingles", "signature")
+        .agg(least.alias("least"), F.first("n_shingles").alias("n_shingles"), *(F.first(c).alias(c) for c in ("signature", *SKETCH)))
+        .select("set_key", "least.doc_id", "least.text_key", "n_shingles", "signature", *SKETCH)
     )
     classes = settle_down(grouped.withColumn("class", F.monotonically_increasing_id()), "near-classes")
 
@@ -380,7 +414,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             break
 
     # What the rounds did not connect is compared with every class of another component.
-    near = pairs_across(placed, classes).where(confirmer.sizes_fit())
+    near = pairs_across(placed, classes, percent)
     near = near.select(F.greatest("class_a", "class_b").alias("a"), F.least("class_a", "class_b").alias("b"))
     across = confirmer.at_hand(near.join(headed, ["a", "b"], "left_anti"))
     roots = merged(roots, confirmer.links(across))

@@ -172,3 +172,28 @@ def test_components_of_chains_and_stars(spark):
     found = components(spark.createDataFrame(links, "a bigint, b bigint"))
     got = {r.a: r.b for r in found.collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, **{i: 500 for i in range(501, 540)}, 2: 1, 3: 1}
+
+
+def test_sketches_exclude_no_link():
+    rng = np.random.default_rng(8)
+    for n in (1, 3, 40, 700, 5_000):
+        one = np.unique(rng.integers(0, 2**64, n, np.uint64, endpoint=False))
+        for changed in {0, 1, n // 20, n // 5, n}:
+            other = np.unique(np.concatenate([one[changed:], rng.integers(0, 2**64, changed // 2, np.uint64, endpoint=False)]))
+            turned = np.unpackbits((near_dedup.sketch(one) ^ near_dedup.sketch(other)).view(np.uint8)).sum()
+            assert turned <= len(np.setxor1d(one, other))
+
+
+def test_groups_just_below_the_similarity(spark):
+    """Members share a text but for some words each: similar to none or to few others."""
+    rng = random.Random(6)
+    shared = [f"w{i}" for i in range(120)]
+    rows = []
+    for doc_id in range(160):
+        own = list(shared)
+        for place in rng.sample(range(120), rng.choice((2, 6, 7, 8))):
+            own[place] = f"own{doc_id}x{place}"
+        rows.append((doc_id, " ".join(own)))
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA).repartition(6)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, 2, 80).collect()]
+    assert sorted(got) == sorted(brute_components(rows, 2, 80))
