@@ -20,11 +20,17 @@ RUNTIME = {
     # A join on contract and month may keep rows that already are by contract where they are.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
+# Rows of a few bytes become a row per month after a shuffle, some ninety times their size in a
+# task's memory. So shuffles are cut finely and joined again to small parts: what a task holds stays
+# the same on more input. A session that names a number of cuts of its own keeps it.
+PART_SIZE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m"}
+FINEST_CUT = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
 SETTINGS = {
     **RUNTIME,
+    **PART_SIZE,
+    **FINEST_CUT,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Spark keeps the map output of lost executors reachable through migration.
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
@@ -48,6 +54,7 @@ def open_local(cores: int = 8, **extra: str) -> SparkSession:
     local = {
         "spark__ui__enabled": "false",
         "spark__sql__shuffle__partitions": str(cores),
+        "spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(cores),
         "spark__sql__adaptive__coalescePartitions__parallelismFirst": "true",
     }
     return open_session("duebook-local", f"local[{cores}]", **(local | extra))
@@ -59,6 +66,14 @@ def use_runtime_settings(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+def use_small_parts(spark: SparkSession) -> None:
+    """Let tasks read little each, for plans that spread rows over months."""
+    for name, value in PART_SIZE.items():
+        spark.conf.set(name, value)
+    for name, value in FINEST_CUT.items():
+        spark.conf.set(name, spark.conf.get(name, None) or value)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, unique folder for intermediate tables, below the cluster's shared folder.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duebook.session import use_runtime_settings
+from duebook.session import use_runtime_settings, use_small_parts
 
 
 @dataclass(frozen=True)
@@ -89,6 +89,7 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         use_runtime_settings(spark)
+        use_small_parts(spark)
         df = entry.build(spark, sf_dir)
         return entry.columns.of(df) if entry.columns else df
 

@@ -2,8 +2,11 @@ import random
 from datetime import date, timedelta
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from duebook.operators.delinquency import overdue_by_month, settle_installments
 from duebook.plans.loanbook import LAST_OBSERVED_DAY
+from duebook.workload import registry
 from tests.helpers import rows, same
 
 SCHEMA = (
@@ -150,3 +153,26 @@ def test_a_contract_that_changes_its_client(spark):
     assert {r[1] for r in seen if r[0] >= month_start(due(21))} == {3}
     for m, _, days in seen:
         assert days == (min(next_month(m) - timedelta(days=1), LAST_OBSERVED_DAY) - due(18)).days
+
+
+def test_tasks_stay_small_however_few_partitions_a_session_asks_for(spark, monkeypatch):
+    """Spreading over months multiplies rows, so the rows before it go to more tasks as they grow."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+
+    def spread(session, _):
+        due = F.date_add(F.lit(date(2018, 1, 1)), F.pmod(F.xxhash64("id"), F.lit(700)).cast("int"))
+        installments = session.range(400_000).select(
+            F.xxhash64("id").alias("sk_id_prev"),
+            F.xxhash64("id", "id").alias("sk_id_curr"),
+            due.alias("instalment_date"),
+            F.lit(False).alias("is_paid_in_full"),
+            F.lit(None).cast("date").alias("paid_in_full_date"),
+            F.lit(True).alias("has_previous_application"),
+        )
+        months = overdue_by_month(installments, date(2019, 12, 31))
+        return months.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("rows"))
+
+    monkeypatch.setitem(registry.QUERIES, "spread", registry.Query(spread, None, None))
+    tasks = registry.runnable("spread")(own, "").collect()
+    assert len(tasks) > 2
