@@ -1,3 +1,4 @@
+import tempfile
 from datetime import date
 from decimal import Decimal
 
@@ -173,3 +174,36 @@ def test_clean_series_keeps_the_latest_revision(spark):
 def test_month_spine_crosses_years(spark):
     df = spark.createDataFrame([(date(2017, 11, 20),), (date(2018, 2, 3),), (None,)], "d DATE")
     same(month_spine(df, "d"), [(date(2017, 11, 1),), (date(2017, 12, 1),), (JAN,), (FEB,)])
+
+
+def test_months_travel_to_their_client_once(spark):
+    """The check of flags uses the client months' own placing, and the same rows of it."""
+    from duebook.workload import catalogue, registry
+
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    catalogue.queries()
+    check = registry.QUERIES["check_flag"].build
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    day = F.timestamp_seconds(946684800 + 86400 * F.col("id"))
+    folder = tempfile.mkdtemp()
+    own.range(40).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 4).alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"), F.lit(10.0).alias("o_totalprice"),
+        day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(f"{folder}/orders.parquet")
+    own.range(80).select(
+        (F.col("id") % 40).alias("l_orderkey"), F.col("id").alias("l_partkey"),
+        F.col("id").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+        F.lit(3.0).alias("l_quantity"), F.lit(5.0).alias("l_extendedprice"),
+        F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), day.alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    df = check(own, folder)
+    found = df.first()
+    assert (found.wrong_flag, found.wrong_start, found.wrong_max) == (0, 0, 0) and found.flagged > 0
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_month = [x for x in lines if "Exchange hashpartitioning(sk_id_curr" in x and ", month" in x.split("),")[0]]
+    placed = [x for x in lines if "REPARTITION_BY_COL" in x and "hashpartitioning(sk_id_curr" in x]
+    assert not [x for x in by_month if "Reused" not in x]
+    assert placed
