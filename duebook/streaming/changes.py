@@ -125,9 +125,11 @@ class VersionedStream:
         same = same_keys(self.keys)
         at = F.col(self.sequence)
         current = self._open(touched, number - 1)
-        last = shadowed(
-            current.select(*self.keys, at.alias("_last"), F.col(VALID_FROM).alias(_SINCE)), self.keys
-        ).withColumn("_known", F.lit(True))
+        last = self._beside(
+            current.select(*self.keys, at.alias("_last"), F.col(VALID_FROM).alias(_SINCE)).withColumn(
+                "_known", F.lit(True)
+            )
+        )
         placed = arrived.join(last, same, "left")
         late = placed.where(F.col("_known") & ~F.ifnull(at > F.col("_last"), F.lit(False)))
         late = settle_down(
@@ -136,9 +138,9 @@ class VersionedStream:
             ),
             "late",
         )
-        again = shadowed(late.select(*self.keys), self.keys)
+        again = self._beside(late.select(*self.keys))
         on_time = arrived.join(again, same, "left_anti")
-        arrived_keys = shadowed(on_time.select(*self.keys).distinct(), self.keys)
+        arrived_keys = self._beside(on_time.select(*self.keys).distinct())
         going_on = current.join(arrived_keys, same, "left_semi").select(*arrived.columns)
         built = self._build(on_time.unionByName(going_on)).join(last, same, "left")
         # The open version goes on: it began where it began, not at its last delivery.
@@ -150,7 +152,7 @@ class VersionedStream:
         self._write(fresh.where(F.col(VALID_TO).isNotNull()), "closed", number)
         # Exactly one version of each key is open, so these are all keys of the batch.
         opened = fresh.where(F.col(VALID_TO).isNull())
-        others = current.join(shadowed(opened.select(*self.keys), self.keys), same, "left_anti")
+        others = current.join(self._beside(opened.select(*self.keys)), same, "left_anti")
         whole = opened.unionByName(others.withColumn(BUCKET, self._bucket()))
         (
             whole.withColumn(BATCH, F.lit(number))
@@ -170,9 +172,9 @@ class VersionedStream:
         buckets = [r[0] for r in late.select(self._bucket()).distinct().collect()]
         closed = self._closed(number - 1).where(F.col(BUCKET).isin(buckets))
         spans = closed.select(*self.keys, VALID_FROM).unionByName(current.select(*self.keys, VALID_FROM))
-        before = spans.join(shadowed(late, self.keys), same).where(F.col(VALID_FROM) < F.col("_first"))
+        before = spans.join(self._beside(late), same).where(F.col(VALID_FROM) < F.col("_first"))
         starts = before.groupBy(*self.keys).agg(F.max(VALID_FROM).alias("_from"))
-        starts = late.join(shadowed(starts, self.keys), same, "left").select(*self.keys, "_from")
+        starts = late.join(self._beside(starts), same, "left").select(*self.keys, "_from")
         # No start: the delivery is earlier than all versions, and everything of the key is read.
         self._write(starts.withColumn(BUCKET, self._bucket()), "cuts", number)
         cuts = self._read("cuts", self._cut_columns()).where(F.col(BATCH) == number)
@@ -184,7 +186,7 @@ class VersionedStream:
             # Reaches the scan: files and row groups of older deliveries are skipped.
             log = log.where(F.col(self.sequence) >= F.lit(least))
         held = F.col("_from").isNull() | (F.col(self.sequence) >= F.col("_from"))
-        rows = log.drop(BATCH, BUCKET).join(shadowed(cuts.drop(BATCH, BUCKET), self.keys), same).where(held)
+        rows = log.drop(BATCH, BUCKET).join(self._beside(cuts.drop(BATCH, BUCKET)), same).where(held)
         return self._build(rows.select(*self._schema.names))
 
     def _build(self, deliveries: DataFrame) -> DataFrame:
@@ -220,7 +222,7 @@ class VersionedStream:
         if base >= 0:
             rows = rows.unionByName(self._read("base", columns).where(F.col(BATCH) == base))
         cuts = self._read("cuts", self._cut_columns()).where(span)
-        cuts = shadowed(cuts.drop(BUCKET).withColumnRenamed(BATCH, "_cut_in"), self.keys)
+        cuts = self._beside(cuts.drop(BUCKET).withColumnRenamed(BATCH, "_cut_in"))
         gone = F.col("_from").isNull() | F.ifnull(F.col(VALID_FROM) >= F.col("_from"), F.lit(False))
         return rows.join(cuts, same_keys(self.keys) & (F.col(BATCH) < F.col("_cut_in")) & gone, "left_anti")
 
@@ -240,6 +242,13 @@ class VersionedStream:
         names = subfolders(self.spark, root)
         return [_number(n) for n in names if path_exists(self.spark, f"{root}/{n}/_SUCCESS")]
 
+    def _beside(self, df: DataFrame) -> DataFrame:
+        """``df`` for a join with ``same_keys``, both sides shuffled.
+
+        It grows with the keys, and files small enough to broadcast make many rows for the driver.
+        """
+        return shadowed(df, self.keys).hint("merge")
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias(BUCKET)
 

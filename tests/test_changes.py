@@ -6,7 +6,7 @@ import pytest
 from duebook.fixed_values import Rule
 from duebook.operators.history import build_versions
 from duebook.streaming.changes import VersionedStream
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 SCHEMA = "id INT, colour STRING, _rescued_data STRING, _ingested_at TIMESTAMP, _source_file STRING"
 DAY = [datetime(2026, 1, d) for d in range(1, 29)]
@@ -116,3 +116,11 @@ def test_a_batch_does_not_read_the_log(spark, folder, monkeypatch):
     assert built == [0, 4]
     total = total.union(more).union(late)
     assert rows(kept.versions()) == rows(build_versions(total, ["id"]))
+
+
+def test_what_grows_with_the_keys_is_not_broadcast(spark, folder):
+    """A broadcast is built in the driver; cuts and open versions grow with the keys."""
+    kept, _ = history(
+        spark, folder, [[(1, "A", None, DAY[1]), (1, "B", None, DAY[6])], [(1, "C", None, DAY[3])]]
+    )
+    assert "BroadcastHashJoin" not in plan(kept.versions())
