@@ -22,8 +22,12 @@ RUNTIME = {
 }
 # Rows of a few bytes become a row per month after a shuffle, some ninety times their size in a
 # task's memory. So shuffles are cut finely and joined again to small parts: what a task holds stays
-# the same on more input. A session that names a number of cuts of its own keeps it.
-PART_SIZE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m"}
+# the same on more input. A session that names a number of cuts of its own keeps it. Files are read in
+# small splits for the same reason: a task that reads holds what it aggregates, sorts or is to send.
+PART_SIZE = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+    "spark.sql.files.maxPartitionBytes": "4m",
+}
 FINEST_CUT = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
 SETTINGS = {
     **RUNTIME,

@@ -176,3 +176,21 @@ def test_tasks_stay_small_however_few_partitions_a_session_asks_for(spark, monke
     monkeypatch.setitem(registry.QUERIES, "spread", registry.Query(spread, None, None))
     tasks = registry.runnable("spread")(own, "").collect()
     assert len(tasks) > 2
+
+
+def test_files_are_read_in_small_splits(spark, folder, monkeypatch):
+    """A task that reads holds what it aggregates, so its rows must not grow with the file."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    ids = own.range(1_500_000).select(F.xxhash64("id").alias("id")).coalesce(1)
+    ids.write.option("parquet.block.size", 1 << 20).parquet(folder)
+    assert own.read.parquet(folder).rdd.getNumPartitions() == 1  # 12 MB
+
+    def read(session, path):
+        return session.read.parquet(path).groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("rows"))
+
+    monkeypatch.setitem(registry.QUERIES, "read", registry.Query(read, None, None))
+    tasks = registry.runnable("read")(own, folder).collect()
+    assert len(tasks) >= 3
+    assert sum(t.rows for t in tasks) == 1_500_000
