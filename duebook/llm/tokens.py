@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -26,6 +27,8 @@ CUT = "\x01"
 #: are, the others from U+0100 on in ascending order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_SYMBOLS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200)))
+SYMBOLS = [chr(BYTE_SYMBOLS.get(b, b)) for b in range(256)]
+SPACE = SYMBOLS[0x20]
 
 
 class PieceEncoder:
@@ -51,12 +54,12 @@ class PieceEncoder:
                 pc.replace_substring_regex(lower, pattern=r"[\t-\r]", replacement=" "), " "
             )
         # Cut before a space or line end that follows something other than white space, and
-        # between a letter and a full stop or comma. Texts that hold the mark are left whole.
+        # between a letter and a sign of ASCII. Texts that hold the mark are left whole.
         cut = pc.replace_substring_regex(
             texts, pattern=r"([\p{L}\p{N}!-~])([ \n])", replacement=rf"\1{CUT}\2"
         )
         cut = pc.replace_substring_regex(
-            cut, pattern=r"(\p{L})([,.])", replacement=rf"\1{CUT}\2"
+            cut, pattern=r"(\p{L})([!-/:-@\[-`{-~])", replacement=rf"\1{CUT}\2"
         )
         has_mark = pc.match_substring(texts, CUT)
         pieces = pc.split_pattern(cut, CUT)
@@ -71,7 +74,7 @@ class PieceEncoder:
         pieces = self.pieces(large(texts))
         offsets = pieces.offsets.to_numpy()
         coded = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-        known = self._ids(coded.dictionary.to_pylist())
+        known = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat = np.frombuffer(b"".join(known), np.uint32)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         starts = np.cumsum(sizes) - sizes
@@ -85,15 +88,17 @@ class PieceEncoder:
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         fresh, older = self.fresh, self.older
-        found = [fresh.get(p) for p in pieces]
-        missing = []
-        for i, ids in enumerate(found):
-            if ids is None:
+        found = list(map(fresh.get, pieces))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if older and missing:
+            unseen = []
+            for i in missing:
                 ids = found[i] = older.get(pieces[i])
                 if ids is None:
-                    missing.append(i)
+                    unseen.append(i)
                 else:
                     fresh[pieces[i]] = ids
+            missing = unseen
         for i, ids in zip(missing, self._encode([pieces[i] for i in missing]), strict=True):
             found[i] = fresh[pieces[i]] = ids
         if len(fresh) > CACHE_PIECES // 2:
@@ -104,18 +109,22 @@ class PieceEncoder:
         """Ids of pieces: words of letters go straight to the model, others the whole way."""
         out: list[bytes] = [b""] * len(pieces)
         other = []
+        tokenize = self.tokenizer.model.tokenize
         for i, piece in enumerate(pieces):
             letters = piece if self.drops_space else piece[piece[:1] == " " :]
             if letters.isalpha() and (not self.drops_space or self._is_normal(letters)):
-                symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-                out[i] = np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], np.uint32).tobytes()
+                if piece.isascii():  # letters stand for themselves, and only the first may be a space
+                    symbols = piece if letters is piece else SPACE + letters
+                else:
+                    symbols = "".join(map(SYMBOLS.__getitem__, piece.encode()))
+                out[i] = array("I", [t.id for t in tokenize(symbols)]).tobytes()
             else:
                 other.append(i)
         for low in range(0, len(other), AT_ONCE):
             some = other[low : low + AT_ONCE]
             whole = self.tokenizer.encode_batch([pieces[i] for i in some], add_special_tokens=False)
             for i, one in zip(some, whole, strict=True):
-                out[i] = np.array(one.ids, np.uint32).tobytes()
+                out[i] = array("I", one.ids).tobytes()
         return out
 
     @staticmethod
