@@ -41,6 +41,15 @@ def test_any_text(name, texts):
     assert pieced(name, texts) == plain(name, texts)
 
 
+def test_signs_are_pieces_of_their_own():
+    """A word and the signs behind it repeat more often apart than together."""
+    texts = ["one two&&& two### l'été!", "don't {two}; 3% a_b [x]^2 one|two"]
+    name = "byte_bpe_50k.json"
+    found = encoder(FILES[name]).pieces(pa.array(texts, pa.large_string())).to_pylist()
+    assert found[0] == ["one", " two", "&&&", " two", "###", " l", "'été", "!"]
+    assert pieced(name, texts) == plain(name, texts)
+
+
 @settings(max_examples=60, deadline=None)
 @given(values=st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=700))
 def test_simple8b_round_trip(values):
