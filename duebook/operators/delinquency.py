@@ -125,7 +125,9 @@ def overdue_by_month(
     further past due. So installments are first combined by ending month, and only the combined
     rows are spread over months: a contract that stopped paying spreads one row, not one row per
     open installment. Combined rows (a contract has about as many as there are months) move to
-    their contract before they are spread, so the spread rows need no shuffle of their own.
+    their contract before they are spread, so the spread rows need no shuffle of their own. Spread
+    rows are sorted by contract and month and combined in that order: the full join with balances
+    needs that sort anyway, and grouping would hold all months of a task twice besides it.
     """
     due = F.col(cols.due_day)
     until = overdue_until(cols, F.lit(last_day))
@@ -143,14 +145,21 @@ def overdue_by_month(
     days = F.when(month == F.col("_last_month"), F.col("_days_at_end")).otherwise(
         F.datediff(F.last_day(month), "_first_due")
     )
+    # All rows of a month see the same values, so any one of them stands for it.
+    by_month = Window.partitionBy(cols.contract, "month").orderBy("_last_month")
+    whole = by_month.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
         spans.withColumn(
             "month", F.explode(months_from_to(F.col("_first_due"), F.col("_last_month")))
         )
-        .groupBy(cols.contract, "month")
-        .agg(
-            F.min(cols.client).alias(cols.client),
-            F.max(days).alias("installment_dpd"),
-            F.bool_or(cols.known).alias(cols.known),
+        .select(
+            cols.contract,
+            "month",
+            F.min(cols.client).over(whole).alias(cols.client),
+            F.max(days).over(whole).alias("installment_dpd"),
+            F.bool_or(cols.known).over(whole).alias(cols.known),
+            F.row_number().over(by_month).alias("_nth"),
         )
+        .where("_nth = 1")
+        .drop("_nth")
     )

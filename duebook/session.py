@@ -28,10 +28,13 @@ PART_SIZE = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
     "spark.sql.files.maxPartitionBytes": "4m",
 }
+# Rows that come sorted by their group are combined one group after the other, without a table of groups.
+IN_ORDER = {"spark.sql.execution.replaceHashWithSortAgg": "true"}
 FINEST_CUT = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
 SETTINGS = {
     **RUNTIME,
     **PART_SIZE,
+    **IN_ORDER,
     **FINEST_CUT,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -71,8 +74,8 @@ def use_runtime_settings(spark: SparkSession) -> None:
 
 
 def use_small_parts(spark: SparkSession) -> None:
-    """Let tasks read little each, for plans that spread rows over months."""
-    for name, value in PART_SIZE.items():
+    """Let tasks read and hold little each, for plans that spread rows over months."""
+    for name, value in (PART_SIZE | IN_ORDER).items():
         spark.conf.set(name, value)
     for name, value in FINEST_CUT.items():
         spark.conf.set(name, spark.conf.get(name, None) or value)

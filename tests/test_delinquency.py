@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -194,3 +195,44 @@ def test_files_are_read_in_small_splits(spark, folder, monkeypatch):
     tasks = registry.runnable("read")(own, folder).collect()
     assert len(tasks) >= 3
     assert sum(t.rows for t in tasks) == 1_500_000
+
+
+def test_months_of_a_contract_are_sorted_and_not_held_in_tables_of_groups(spark, monkeypatch, capsys):
+    """Many operators share a task, so none of them may hold all months besides the sort the join needs."""
+    own = spark.newSession()
+
+    def joined(session, _):
+        settled = settle_installments(payments(session, [paid(3, 5, "84.20"), paid(4, None, "10.00")]))
+        months = overdue_by_month(settled, LAST_OBSERVED_DAY)
+        return months.join(months.select("sk_id_prev", "month"), ["sk_id_prev", "month"], "full")
+
+    monkeypatch.setitem(registry.QUERIES, "joined", registry.Query(joined, None, None))
+    registry.runnable("joined")(own, "").explain()
+    plan = re.sub(r"#\d+L?", "", capsys.readouterr().out)
+    assert "HashAggregate(keys=[sk_id_prev, month]" not in plan
+    # The running sum sorts by installment: groups are closed one after the other.
+    assert "HashAggregate(keys=[sk_id_prev, num_instalment_number, num_instalment_version]" not in plan
+    assert "SortAggregate(key=[sk_id_prev, num_instalment_number, num_instalment_version]" in plan
+
+
+def test_each_month_of_overlapping_installments_comes_once(spark):
+    """Also for rows without a contract, and where installments end in different months."""
+    columns = "sk_id_prev bigint, sk_id_curr bigint, instalment_date date, is_paid_in_full boolean, paid_in_full_date date, has_previous_application boolean"
+    installments = [
+        (1, 7, date(2018, 1, 10), True, date(2018, 3, 5), False),
+        (1, 6, date(2018, 2, 20), True, date(2018, 2, 25), True),
+        (1, 7, date(2018, 3, 1), True, date(2018, 3, 20), None),
+        (None, 9, date(2018, 1, 31), True, date(2018, 1, 31), None),
+        (None, None, date(2018, 1, 1), True, date(2018, 2, 1), None),
+        (2, 5, None, False, None, True),
+    ]
+    out = overdue_by_month(spark.createDataFrame(installments, columns), date(2019, 12, 31))
+    found = {tuple(r) for r in out.select("sk_id_prev", "month", "sk_id_curr", "installment_dpd", "has_previous_application").collect()}
+    assert out.count() == len(found)
+    assert found == {
+        (1, date(2018, 1, 1), 7, 21, False),
+        (1, date(2018, 2, 1), 6, 49, True),
+        (1, date(2018, 3, 1), 7, 54, False),
+        (None, date(2018, 1, 1), 9, 30, None),
+        (None, date(2018, 2, 1), None, 31, None),
+    }
