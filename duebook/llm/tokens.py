@@ -22,7 +22,17 @@ from duebook.llm.batches import large
 CACHE_PIECES = 800_000
 #: Pieces in one call of the tokenizer.
 AT_ONCE = 4_000
-CUT = "\x01"
+#: By byte: space and line end, signs of ASCII, letters of ASCII, all that ASCII shows.
+_BYTES = np.arange(256)
+IS_GAP = np.isin(_BYTES, [0x20, 0x0A])
+IS_SHOWN = (_BYTES > 0x20) & (_BYTES < 0x7F)
+IS_LETTER = np.isin(_BYTES, [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+IS_SIGN = IS_SHOWN & ~IS_LETTER & ~np.isin(_BYTES, range(0x30, 0x3A))
+#: Letters up to here are the same in all versions of Unicode in use; later blocks have grown.
+OLD_LETTERS = 0x530
+_KINDS = [unicodedata.category(chr(i))[0] for i in range(1 << 16)]
+IS_WORD = np.isin(_KINDS, ["L", "N"])
+IS_OLD_LETTER = np.isin(_KINDS, ["L"]) & (np.arange(1 << 16) < OLD_LETTERS)
 #: Byte-level vocabularies write each byte as one character: printable ones of Latin-1 as they
 #: are, the others from U+0100 on in ascending order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -31,6 +41,29 @@ SYMBOLS = [chr(BYTE_SYMBOLS.get(b, b)) for b in range(256)]
 SPACE = SYMBOLS[0x20]
 
 
+def cut_at_bytes(texts: pa.Array) -> pa.LargeListArray:
+    """The pieces of large ``texts`` that begin at offset 0: views of the same bytes, cut before a
+    space or line end that follows a letter, a number or what ASCII shows, and between a letter and a
+    sign of ASCII. Characters of four bytes are never cut behind."""
+    borders = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
+    raw = texts.buffers()[2] or pa.py_buffer(b"")
+    data = np.frombuffer(raw, np.uint8)[: borders[-1]]
+    begins = np.zeros(len(data) + 1, bool)
+    if len(data):
+        gap, sign = IS_GAP[data[1:]], IS_SIGN[data[1:]]
+        begins[1:-1] = gap & IS_SHOWN[data[:-1]] | sign & IS_LETTER[data[:-1]]
+        # The character before, from its last bytes.
+        at = np.flatnonzero((gap | sign) & (data[:-1] >= 0x80))
+        last, middle, first = (data[at - i].astype(np.int32) for i in range(3))
+        code = np.where(middle >= 0xC0, (middle & 0x1F) << 6, (first & 0x0F) << 12 | (middle & 0x3F) << 6) | last & 0x3F
+        short = (middle >= 0xC0) | (first >= 0xE0)
+        begins[at + 1] = short & np.where(gap[at], IS_WORD[code], IS_OLD_LETTER[code])
+    begins[borders] = True
+    starts = np.flatnonzero(begins)
+    pieces = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), raw])
+    return pa.LargeListArray.from_arrays(pa.array(np.searchsorted(starts, borders)), pieces)
+
+
 class PieceEncoder:
     """Ids by one tokenizer file. Special tokens' strings in a text are ordinary text."""
 
@@ -53,21 +86,7 @@ class PieceEncoder:
             return pc.split_pattern(
                 pc.replace_substring_regex(lower, pattern=r"[\t-\r]", replacement=" "), " "
             )
-        # Cut before a space or line end that follows something other than white space, and
-        # between a letter and a sign of ASCII. Texts that hold the mark are left whole.
-        cut = pc.replace_substring_regex(
-            texts, pattern=r"([\p{L}\p{N}!-~])([ \n])", replacement=rf"\1{CUT}\2"
-        )
-        cut = pc.replace_substring_regex(
-            cut, pattern=r"(\p{L})([!-/:-@\[-`{-~])", replacement=rf"\1{CUT}\2"
-        )
-        has_mark = pc.match_substring(texts, CUT)
-        pieces = pc.split_pattern(cut, CUT)
-        if not pc.any(has_mark).as_py():
-            return pieces
-        marked = has_mark.to_pylist()
-        lists = [[t] if m else p for t, m, p in zip(texts.to_pylist(), marked, pieces.to_pylist(), strict=True)]
-        return pa.array(lists, pieces.type)
+        return cut_at_bytes(texts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32), and where each text's ids begin (one more than texts)."""

@@ -50,6 +50,19 @@ def test_signs_are_pieces_of_their_own():
     assert pieced(name, texts) == plain(name, texts)
 
 
+def test_texts_are_cut_where_their_bytes_tell():
+    """No mark is written between pieces, so no character keeps a text from being cut."""
+    texts = ["one\x01two three four", "", "Жук где-то 한국 말 e\u0301 x 5² 7", "😀 a\u00a0 b\n\nc", None, "ab, c"]
+    name = "byte_bpe_50k.json"
+    found = encoder(FILES[name]).pieces(pa.array([t or "" for t in texts], pa.large_string())).to_pylist()
+    assert found[0] == ["one\x01two", " three", " four"]
+    assert found[1] == []
+    assert found[2] == ["Жук", " где", "-то", " 한국", " 말", " e\u0301 x", " 5²", " 7"]
+    assert found[3] == ["😀 a\u00a0 b", "\n\nc"]
+    assert found[5] == ["ab", ",", " c"]
+    assert pieced(name, [t or "" for t in texts]) == plain(name, [t or "" for t in texts])
+
+
 @settings(max_examples=60, deadline=None)
 @given(values=st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=700))
 def test_simple8b_round_trip(values):
