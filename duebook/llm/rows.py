@@ -45,8 +45,11 @@ def in_fold(doc_id: str, folds: int) -> Column:
 
 def prepare(spark: SparkSession) -> None:
     """Planner settings, and Arrow batches of few rows and bytes: a row holds a whole text, and each task
-    has several batches in memory, in the JVM as well as in Python."""
+    has several batches in memory, in the JVM as well as in Python. Operators run many queries one after
+    the other and write what they keep, so shuffle files go with the query that made them; else they
+    stay until the driver collects its garbage, and the disk holds those of many rounds at once."""
     use_runtime_settings(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
