@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from duebook.operators.delinquency import settle_installments
 from duebook.operators.exposure import by_client, client_months
-from duebook.workload import adapters, delivery
+from duebook.sources.loads import LoadedTable
+from duebook.workload import adapters, delivery, histories
 from tests.helpers import rows, same
 
 MONTHS = "sk_id_prev BIGINT, sk_id_curr BIGINT, month DATE, dpd INT, source_dpd_def INT, is_active BOOLEAN, exposure_amount DECIMAL(18,3)"
@@ -85,16 +86,20 @@ def test_bureau_months_neither_join_nor_cut_episodes(own):
     )
 
 
+def moves_after_full_join(df):
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(lines) if "FullOuter" in line)
+    return [line for line in lines[:joined] if "Exchange hashpartitioning" in line]
+
+
 def test_client_months_move_nothing_after_the_full_join(own):
+    assert not moves_after_full_join(client_table(own))
     lines = client_table(own)._jdf.queryExecution().executedPlan().toString().splitlines()
-    joined = next(i for i, line in enumerate(lines) if "FullOuter" in line)
-    assert not [line for line in lines[:joined] if "Exchange hashpartitioning" in line]
     assert len([line for line in lines if "REPARTITION_BY_COL" in line and "sk_id_curr" in line]) == 1
 
 
-def test_replayed_payments_are_stored_compressed(own, tmp_path, monkeypatch):
+def write_tables(own, tables):
     day = F.timestamp_seconds(946684800 + 86400 * (F.col("id") % 50))
-    tables, kept = str(tmp_path / "tables"), str(tmp_path / "kept")
     own.range(400).select(
         F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
         F.lit(10.0).alias("o_totalprice"), day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
@@ -105,9 +110,31 @@ def test_replayed_payments_are_stored_compressed(own, tmp_path, monkeypatch):
         (F.col("id") % 7).cast("int").alias("l_linenumber"), (F.col("id") % 31).cast("double").alias("l_quantity"),
         (F.col("id") * 1.25).alias("l_extendedprice"), F.lit("R").alias("l_returnflag"), flag.alias("l_linestatus"), day.alias("l_shipdate"),
     ).write.parquet(f"{tables}/lineitem.parquet")
+
+
+def test_replayed_payments_are_stored_compressed(own, tmp_path, monkeypatch):
+    tables, kept = str(tmp_path / "tables"), str(tmp_path / "kept")
+    write_tables(own, tables)
     monkeypatch.setattr(delivery, "scratch_folder", lambda spark, label: kept)
     got = delivery.stream_equals_batch(own, tables)
     same(got, rows(settle_installments(adapters.payments(own, tables))))
     files = glob.glob(f"{kept}/in/part-*")
     text = sum(len(gzip.open(f).read()) for f in files if f.endswith(".gz"))
     assert text > 0 and sum(map(os.path.getsize, files)) < text / 4
+
+
+def test_months_of_a_snapshot_move_nothing_after_the_full_join(own, tmp_path, monkeypatch):
+    tables, moves = str(tmp_path / "tables"), []
+    write_tables(own, tables)
+
+    class Watched(LoadedTable):
+        def append(self, df, operation="append"):
+            if self.folder.endswith("/months"):
+                moves.append(moves_after_full_join(df))
+            return super().append(df, operation)
+
+    monkeypatch.setattr(histories, "LoadedTable", Watched)
+    found = histories.snapshot_manifest(own, tables)
+    same(found, [("dataset", 1), ("history", 0)], "table_name", "table_version")
+    assert found.first().n_dataset_rows > 0
+    assert moves == [[]]
